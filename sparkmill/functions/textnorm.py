@@ -6,7 +6,7 @@ import re
 import unicodedata
 
 import pandas as pd
-from pyspark.sql import Column, SparkSession, functions as F
+from pyspark.sql import Column, SparkSession, functions as F, types as T
 
 _DROP = re.compile(r"[\W_]+")
 
@@ -24,7 +24,7 @@ def _jvm_has_icu() -> bool:
         return False
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _nfkc_py(s: pd.Series) -> pd.Series:
     return s.map(lambda x: unicodedata.normalize("NFKC", x) if x else "")
 
@@ -54,7 +54,7 @@ def py_like(a: str, b: str) -> float:
     return n / (len(x) + len(y) - n) if x or y else 0.0
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def like(a: pd.Series, b: pd.Series) -> pd.Series:
     """like(x, y) of two columns of normal texts, in Arrow batches; 0 for null and for texts without pieces."""
     return pd.Series([py_like(x or "", y or "") for x, y in zip(a, b)], dtype="float64")
