@@ -86,3 +86,10 @@ def drop_cut(df: DataFrame) -> None:
 
 def parts_for(rows: int, per_part: int, least: int = 1) -> int:
     return max(least, math.ceil(rows / per_part))
+
+
+def mark_small(df: DataFrame, most: int = 500_000) -> DataFrame:
+    """A written narrow table, marked for broadcast if its counted rows are few enough; else as it is, for a shuffled join."""
+    from pyspark.sql import functions as F
+
+    return F.broadcast(df) if df.count() <= most else df
