@@ -2,7 +2,7 @@
 
 Two records have the same field of units if at least NEED of the SLOTS agree. A unit agrees if its five classes are equal
 (null equals null) and each of its two ratios is apart by at most TOL (null only agrees with null). A unit that is missing
-on either side does not agree; of units with one id the least counts; ids outside SLOTS are ignored.
+on either side does not agree; of units with one id the first counts; ids outside SLOTS are ignored.
 """
 
 from __future__ import annotations
@@ -19,31 +19,27 @@ BROADCAST_IDS = 500_000  # ids; 8 bytes each
 HEAVY = 64
 
 
-def _unit(side: Column) -> Column:
-    names = ["unitId", "isAlive", "canBeTargeted", "isRanged", "teamFormationRole", "engagedByOpponentCount", "hpRatio", "attackRatioToAvg"]
-    return F.coalesce(F.arrays_zip(*[side[n].alias(n) for n in names]), F.array())
-
-
 def _ratio(x: Column) -> Column:
     wide = F.least(F.greatest(F.round(x * SCALE), F.lit(-2e9)), F.lit(2e9))  # beyond 20,000 all ratios are one
     return F.coalesce(wide, F.lit(NO_RATIO)).cast("int")
 
 
-def units(area: Column) -> Column:
-    """array<int> of three numbers a slot: a hash of the classes (null: no such unit), and the two ratios."""
+def with_units(df: DataFrame, area: Column) -> DataFrame:
+    """`df` with units, array<int> of three numbers a slot: a hash of the classes (null: no such unit), and the two ratios.
 
-    def code(u: Column) -> Column:
-        text = lambda c: F.coalesce(u[c].cast("string"), F.lit("-"))
-        return F.struct(
-            u["unitId"].alias("i"),
-            F.hash(F.concat_ws("|", text("isAlive"), text("canBeTargeted"), text("isRanged"), text("teamFormationRole"), text("engagedByOpponentCount"))).alias("c"),
-            _ratio(u["hpRatio"]).alias("h"),
-            _ratio(u["attackRatioToAvg"]).alias("r"),
-        )
-
-    every = F.array_sort(F.concat(F.transform(_unit(area["allies"]), code), F.transform(_unit(area["enemies"]), code)))
-    one = lambda s: F.get(F.filter(every, lambda u: u["i"] == s), F.lit(0))
-    return F.flatten(F.transform(F.array(*map(F.lit, SLOTS)), lambda s: F.transform(F.array(one(s)), lambda u: F.array(u["c"], u["h"], u["r"]))[0]))
+    Only the compared fields are read. A slot's unit is found by the place of its id, so all of it is generated code without lambdas.
+    """
+    names = ["unitId", "isAlive", "canBeTargeted", "isRanged", "teamFormationRole", "engagedByOpponentCount", "hpRatio", "attackRatioToAvg"]
+    df = df.withColumns({f"_{side[0]}_{n}": area[side][n] for side in ("allies", "enemies") for n in names})
+    df = df.withColumns({f"_at_{s}": F.array_position(f"_{'a' if s[0] == 'A' else 'e'}_unitId", F.lit(s)) for s in SLOTS})
+    flat = []
+    for s in SLOTS:
+        at = F.coalesce(F.col(f"_at_{s}"), F.lit(0)).cast("int") - 1
+        of = lambda n: F.get(F.col(f"_{'a' if s[0] == 'A' else 'e'}_{n}"), at)  # noqa: B023, E731
+        flags = [F.coalesce(of(n).cast("int"), F.lit(2)) for n in names[1:4]]
+        code = F.hash(*flags, F.coalesce(of(names[4]), F.lit("-")), F.coalesce(of(names[5]), F.lit(-1)))
+        flat += [F.when(at >= 0, code), _ratio(of(names[6])), _ratio(of(names[7]))]
+    return df.withColumn("units", F.array(*flat)).drop(*[c for c in df.columns if c.startswith(("_a_", "_e_", "_at_"))])
 
 
 def block_keys(u: Column, probe: bool) -> Column:

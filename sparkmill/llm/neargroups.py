@@ -26,8 +26,9 @@ def boundary(mean_chars: float | None) -> int:
 
 def encode(df: DataFrame, no: Column, area: Column, first: Column, second: Column) -> DataFrame:
     """(no, eid, units, first, second) of every record that can be linked at all: both normal texts have a piece and 9 units are there."""
-    e = df.select(no.cast("long").alias("no"), battle.units(area).alias("units"), norm(first).alias("first"), norm(second).alias("second"))
-    full = F.size(F.filter(F.transform(F.sequence(F.lit(0), F.lit(len(battle.SLOTS) - 1)), lambda i: F.get(F.col("units"), i * 3)), lambda c: c.isNotNull()))
+    e = df.select(no.cast("long").alias("no"), area.alias("area"), norm(first).alias("first"), norm(second).alias("second"))
+    e = battle.with_units(e, F.col("area")).drop("area")
+    full = sum((F.get(F.col("units"), F.lit(3 * i)).isNotNull().cast("int") for i in range(len(battle.SLOTS))), F.lit(0))
     return e.where(F.col("no").isNotNull() & (full >= battle.NEED) & (F.length("first") >= 2) & (F.length("second") >= 2)).withColumn("eid", F.xxhash64("units", "first", "second"))
 
 
