@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ..functions.textnorm import base_text, norm, part
 from ..session import table
-from . import neargroups
+from . import leaks, neargroups, overlap, packing, quota, spam, splits
 from .linkage import LinkageStore
 
 COMMAND, BASE, AREA = "command_spec.command_text", "command_spec.base_command_text", "input.input.area_situation"
@@ -46,5 +47,103 @@ def p4_groups(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_clusters, p4_found, p4_groups)}
+def p7_found(spark: SparkSession, sf: str) -> DataFrame:
+    a = table(spark, sf, "accepted_samples")
+    rows = a.select(
+        F.col("sample_no").alias("no"), (part(F.col("split")) != "train").alias("is_left"),
+        norm(F.col(COMMAND)).alias("first"), norm(base_text(F.col(COMMAND), F.col(BASE))).alias("second"),
+    )
+    return overlap.cross_pairs(rows)
+
+
+def p7_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """The pairs counted by the split and source of the record that is not in train."""
+    of = table(spark, sf, "accepted_samples").select(F.col("sample_no").alias("no"), part(F.col("split")).alias("split"), F.coalesce("gen_source", F.lit("")).alias("gen_source")).where("split <> 'train'")
+    found = p7_found(spark, sf)
+    held = found.select(F.explode(F.array("low_no", "high_no")).alias("no"))
+    return held.join(of, "no").groupBy("split", "gen_source").agg(F.count("*").alias("n_pairs"), F.countDistinct("no").alias("n_records"))
+
+
+def _families(spark: SparkSession, sf: str) -> DataFrame:
+    a = table(spark, sf, "accepted_samples")
+    return a.select("sample_no", splits.family(base_text(F.col(COMMAND), F.col(BASE))).alias("family"), part(F.col("split")).alias("part"))
+
+
+def p2_found(spark: SparkSession, sf: str) -> DataFrame:
+    return splits.torn(_families(spark, sf), ["family"], "part").select("sample_no")
+
+
+def p2_splits(spark: SparkSession, sf: str) -> DataFrame:
+    shares = {r["split"]: r["share"] for r in table(spark, sf, "split_targets").orderBy(F.desc("share"), "split").collect()}
+    return splits.grouped_split(_families(spark, sf), ["family"], shares).select("sample_no", "group_no", "size", "new_split")
+
+
+def _quota(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    a = table(spark, sf, "accepted_samples")
+    has = F.col("skill_case").isNotNull()
+    axes = {c: F.col(f"metadata.{c}") for c in ("intent_family", "command_style", "actor_selection", "target_selection", "action_pattern", "scenario_family")}
+    axes |= {c: F.when(has, F.col(f"skill_case.{c}")) for c in ("skill_family", "skill_target_kind")}
+    axes["conflict_type"] = F.when(has, F.coalesce("skill_case.conflict_type", F.lit("null")))
+    goal = quota.goals(table(spark, sf, "sample_requests"), table(spark, sf, "taxonomy_dim"))
+    asked = {r["axis"] for r in goal.select("axis").distinct().collect()}
+    axes = {k: v for k, v in axes.items() if k in asked}
+    intent = F.col("metadata.intent_family")
+    nested = {r["axis"] for r in goal.where("parent <> ''").select("axis").distinct().collect()} & set(axes)
+    rows = a.select(F.col("sample_no").alias("no"), part(F.col("split")).alias("split"), "metadata", "skill_case")
+    return quota.cells(rows, axes, {k: intent for k in sorted(nested)}), goal
+
+
+def p5_found(spark: SparkSession, sf: str) -> DataFrame:
+    return quota.report(*_quota(spark, sf)).where("is_short").select("request_no", "category")
+
+
+def p5_report(spark: SparkSession, sf: str) -> DataFrame:
+    return quota.report(*_quota(spark, sf)).select("request_no", "category", F.round("n_want", 6).alias("n_want"), "n_need", "n_have", "is_short")
+
+
+def p5_draw(spark: SparkSession, sf: str) -> DataFrame:
+    return quota.draw(*_quota(spark, sf)).select("request_no", "category", F.col("no").alias("sample_no"), "by_floor")
+
+
+def _packed(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select(F.col("doc_id").alias("id"), (F.coalesce(F.octet_length("text"), F.lit(0)) + 1).alias("size"))
+    return packing.pack(docs, table(spark, sf, "pack_limits").select("limit_name", F.col("capacity_tokens").alias("capacity")))
+
+
+def p8_found(spark: SparkSession, sf: str) -> DataFrame:
+    return _packed(spark, sf).where("piece = 1").select("limit_name", F.col("id").alias("doc_id"))
+
+
+def p8_containers(spark: SparkSession, sf: str) -> DataFrame:
+    return _packed(spark, sf).withColumnRenamed("id", "doc_id")
+
+
+def p8_unused(spark: SparkSession, sf: str) -> DataFrame:
+    """Containers and the share of them that stays unused, for each limit."""
+    used = _packed(spark, sf).groupBy("limit_name", "container").agg(F.sum("size").alias("n")).groupBy("limit_name").agg(F.count("*").alias("n_containers"), F.sum("n").alias("n_tokens"))
+    return used.join(table(spark, sf, "pack_limits"), "limit_name").select("limit_name", "n_containers", "n_tokens", (1 - F.col("n_tokens") / (F.col("n_containers") * F.col("capacity_tokens"))).alias("unused"))
+
+
+def _leaks(spark: SparkSession, sf: str, **how) -> DataFrame:
+    return leaks.leaks(table(spark, sf, "documents").select(F.col("doc_id").alias("id"), "text"), table(spark, sf, "eval_items"), **how)
+
+
+def p9_found(spark: SparkSession, sf: str) -> DataFrame:
+    return _leaks(spark, sf).where(F.col("run") >= leaks.RUN).select(F.col("id").alias("doc_id"), "item_id")
+
+
+def p9_alignments(spark: SparkSession, sf: str) -> DataFrame:
+    return _leaks(spark, sf, least_score=leaks.MATCH * leaks.RUN * 3 // 4).withColumnRenamed("id", "doc_id")
+
+
+def p10_share(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents").select(F.col("doc_id").alias("id"), "text", "lang")
+    return spam.spam_share(docs).select(F.col("id").alias("doc_id"), "n_chars", F.round("share", 6).alias("spam_share"))
+
+
+def p10_found(spark: SparkSession, sf: str) -> DataFrame:
+    return p10_share(spark, sf).where("spam_share > 0.5").select("doc_id")
+
+
+QUERIES = {f.__name__: f for f in (p1_found, p1_clusters, p4_found, p4_groups, p2_found, p2_splits, p5_found, p5_report, p5_draw, p7_found, p7_counts, p8_found, p8_containers, p8_unused, p9_found, p9_alignments, p10_share, p10_found)}
 ORACLE_SQL: dict[str, str] = {}
