@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import math
 import re
+import unicodedata
 from collections import Counter
 from collections.abc import Iterator
 
@@ -40,6 +41,7 @@ LINK = re.compile(
     r"https?://\S+|www\.\S+|</?[a-z][^>]*>|\]\(|[#@]\w+|\b[A-Z]{2,5}-\d{3,}\b|[★☆]+|\b\d[\d,.]*\s?(?:원|won|usd)|[$€£]\s?\d[\d.,]*", re.I
 )
 WORD = re.compile(r"\w+")
+HIDDEN = re.compile("[\u00ad\u200b-\u200f\u202a-\u202e\u2060-\u2064\ufeff]")
 LIST_MARK = re.compile("[^\\w\\s\"'“”‘’.:?!…()\\[\\]–—-]")
 
 
@@ -97,11 +99,17 @@ def language(text: str, given: str | None) -> str:
     return "ko" if 3 * sum("가" <= c <= "힣" for c in text[:20_000]) > letters else "en"
 
 
+def plain(text: str) -> str:
+    """NFKC without invisible format characters, so that other spellings of the same characters measure alike."""
+    t = unicodedata.normalize("NFKC", text)
+    return t if t.isascii() else HIDDEN.sub("", t)
+
+
 def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         rows = []
         for i, t, l in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist()):
-            if t and (ws := windows(t)):
+            if t and (ws := windows(plain(t))):
                 lang = language(t, l)
                 rows += [(i, lang, len(w), *measures(w)) for w in ws]
         yield pa.RecordBatch.from_pandas(
