@@ -94,36 +94,40 @@ def small(ids: DataFrame, most: int = BROADCAST_IDS) -> DataFrame:
     return F.broadcast(ids) if ids.count() <= most else ids
 
 
-def prefix(text: Column) -> Column:
-    """Pieces of a normal text of which a like text (0.6 or more) holds at least one of its own, in the order of their hashes."""
-    n = F.length(text)
-    got = F.array_sort(F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(n - 1, F.lit(1))), lambda i: F.xxhash64(F.substr(text, i, F.lit(2))))))
-    size = F.size(got)
-    return F.when(n >= 2, F.slice(got, 1, (size - F.floor((size * 6 + 9) / 10) + 1).cast("int"))).otherwise(F.array().cast("array<bigint>"))
+def by_text(a: DataFrame, b: DataFrame, rows_a: DataFrame, rows_b: DataFrame, texts: list[str]) -> DataFrame:
+    """(x, y) of the lists of heavy keys: `a` (x, k) and `b` (y, k) under one key are only paired if their texts are like.
 
+    The texts' join (see overlap) is over distinct texts and orders pieces by rarity, so records that share units by the thousand
+    but differ in what they say are never paired off. Of several texts that all must be like, the one with the most values is taken.
+    """
+    from .overlap import like_pairs
 
-def candidates(known: DataFrame, new: DataFrame, texts: list[str], ordered: bool = False, heavy: int = HEAVY) -> DataFrame:
-    """Distinct (x, y): eids of `known` and `new` that share a block key; with `ordered` only x < y.
+    ra, rb = rows_a.join(a.select(F.col("x").alias("eid")).distinct(), "eid", "left_semi"), rows_b.join(b.select(F.col("y").alias("eid")).distinct(), "eid", "left_semi")
+    n = ra.agg(*[F.approx_count_distinct(t).alias(t) for t in texts]).first()
+    text = max(texts, key=lambda t: n[t])
+    ra, rb = [cut(r.select("eid", F.xxhash64(text).alias("tid"), F.col(text).alias("text")).dropDuplicates(["eid"]), "texts") for r in (ra, rb)]
+    both = ra.select("tid", "text", F.lit(2).alias("m")).unionAll(rb.select("tid", "text", F.lit(1).alias("m")))
+    like = cut(like_pairs(cut(both.groupBy("tid", "text").agg(F.bit_or("m").alias("mask")), "texts")), "like")
+    left = b.join(rb.select(F.col("eid").alias("y"), F.col("tid").alias("ty")), "y").join(like.select(F.col("x").alias("ty"), F.col("y").alias("tx")), "ty")
+    right = a.join(ra.select(F.col("eid").alias("x"), F.col("tid").alias("tx")), "x")
+    return left.join(right, ["k", "tx"]).select("x", "y")
 
-    Light keys are joined as they are. The lists of heavy keys (more than `heavy` known records) are not paired off: there
-    both sides are listed under key and each prefix piece of every text in `texts`, whose likeness the caller asks for too.
-    """
-    ik = known.select("eid", F.explode(block_keys(F.col("units"), False)).alias("k"))
-    pk = new.select("eid", F.explode(block_keys(F.col("units"), True)).alias("k"))
+
+def probed(ik: DataFrame, pk: DataFrame, rows_a: DataFrame, rows_b: DataFrame, texts: list[str], ordered: bool = False, heavy: int = HEAVY) -> DataFrame:
+    """Distinct (x, y) of known (x, k) and new (y, k) keys that meet; with `ordered` only x < y. Lists of more than `heavy` known records go by text."""
     hot = cut(ik.groupBy("k").agg(F.count("*").alias("n")).where(F.col("n") > heavy).select("k"), "hot")
     n_hot = hot.count()
     x_lt_y = F.col("x") < F.col("y") if ordered else F.lit(True)
-
-    def pairs(a: DataFrame, b: DataFrame, on: list[str]) -> DataFrame:
-        return a.withColumnRenamed("eid", "x").join(b.withColumnRenamed("eid", "y"), on).where(x_lt_y).select("x", "y")
-
     if not n_hot:
-        return pairs(ik, pk, ["k"]).distinct()
+        return ik.join(pk, "k").where(x_lt_y).select("x", "y").distinct()
     mark = F.broadcast(hot) if n_hot <= BROADCAST_IDS else hot
-    got = pairs(ik.join(mark, "k", "left_anti"), pk.join(mark, "k", "left_anti"), ["k"])
+    light = ik.join(mark, "k", "left_anti").join(pk.join(mark, "k", "left_anti"), "k").select("x", "y")
+    dense = by_text(ik.join(mark, "k", "left_semi"), pk.join(mark, "k", "left_semi"), rows_a, rows_b, texts)
+    return light.unionAll(dense).where(x_lt_y).distinct()
 
-    def listed(keys: DataFrame, rows: DataFrame, text: str) -> DataFrame:
-        return keys.join(mark, "k", "left_semi").join(rows.select("eid", F.explode(prefix(F.col(text))).alias("t")), "eid")
 
-    text = texts[-1]  # the last is the one with the widest spread
-    return got.unionAll(pairs(listed(ik, known, text), listed(pk, new, text), ["k", "t"])).distinct()
+def candidates(known: DataFrame, new: DataFrame, texts: list[str], ordered: bool = False, heavy: int = HEAVY) -> DataFrame:
+    """Distinct (x, y): eids of `known` and `new` that share a block key, and, under a heavy key, have one like text of `texts` at least."""
+    ik = known.select(F.col("eid").alias("x"), F.explode(block_keys(F.col("units"), False)).alias("k"))
+    pk = new.select(F.col("eid").alias("y"), F.explode(block_keys(F.col("units"), True)).alias("k"))
+    return probed(ik, pk, known, new, texts, ordered, heavy)

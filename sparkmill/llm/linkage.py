@@ -133,16 +133,7 @@ class LinkageStore:
     def _probe(self, new: DataFrame, entities: DataFrame) -> DataFrame:
         keys = self.table("keys").select("k", F.col("eid").alias("x"))
         pk = new.select(F.col("eid").alias("y"), F.explode(battle.block_keys(F.col("units"), True)).alias("k"))
-        hot = cut(keys.groupBy("k").agg(F.count("*").alias("n")).where(F.col("n") > battle.HEAVY).select("k"), "hot")
-        n_hot = hot.count()
-        if not n_hot:
-            return keys.join(pk, "k").select("x", "y").distinct()
-        mark = F.broadcast(hot) if n_hot <= battle.BROADCAST_IDS else hot
-        light = keys.join(mark, "k", "left_anti").join(pk.join(mark, "k", "left_anti"), "k").select("x", "y")
-        pieces = lambda e, s: e.select(F.col("eid").alias(s), "text").dropDuplicates([s]).select(s, F.explode(battle.prefix(F.col("text"))).alias("t"))
-        a = keys.join(mark, "k", "left_semi").join(pieces(entities, "x"), "x")
-        b = pk.join(mark, "k", "left_semi").join(pieces(new, "y"), "y")
-        return light.unionAll(a.join(b, ["k", "t"]).select("x", "y")).distinct()
+        return battle.probed(keys, pk, entities, new, ["text"])
 
     def _score(self) -> Column:
         pick = lambda f: F.element_at(F.array(*[F.lit(w) for w in self.weights[f]]), F.col(f) + 1)

@@ -66,16 +66,17 @@ def p7_counts(spark: SparkSession, sf: str) -> DataFrame:
 
 def _families(spark: SparkSession, sf: str) -> DataFrame:
     a = table(spark, sf, "accepted_samples")
-    return a.select("sample_no", splits.family(base_text(F.col(COMMAND), F.col(BASE))).alias("family"), part(F.col("split")).alias("part"))
+    base = F.coalesce(base_text(F.col(COMMAND), F.col(BASE)), F.lit(""))
+    return a.select("sample_no", base.alias("base"), splits.family(base).alias("family"), part(F.col("split")).alias("part"))
 
 
 def p2_found(spark: SparkSession, sf: str) -> DataFrame:
-    return splits.torn(_families(spark, sf), ["family"], "part").select("sample_no")
+    return splits.torn(_families(spark, sf), ["base", "family"], "part").select("sample_no")
 
 
 def p2_splits(spark: SparkSession, sf: str) -> DataFrame:
     shares = {r["split"]: r["share"] for r in table(spark, sf, "split_targets").orderBy(F.desc("share"), "split").collect()}
-    return splits.grouped_split(_families(spark, sf), ["family"], shares).select("sample_no", "group_no", "size", "new_split")
+    return splits.grouped_split(_families(spark, sf), ["base", "family"], shares).select("sample_no", "group_no", "size", "new_split")
 
 
 def _quota(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:

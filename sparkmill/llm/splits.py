@@ -29,9 +29,9 @@ def related(rows: DataFrame, keys: list[str]) -> DataFrame:
     rows = rows.withColumn("_keys", own).withColumn("_first", F.coalesce(F.get("_keys", F.lit(0)), F.xxhash64(F.lit("alone"), F.monotonically_increasing_id())))
     if len(keys) == 1:
         return rows.withColumnRenamed("_first", "group_no").drop("_keys")
-    ties = rows.select(F.explode(F.arrays_zip(F.slice("_keys", 1, F.greatest(F.size("_keys") - 1, F.lit(0))).alias("a"), F.slice("_keys", 2, F.size("_keys")).alias("b"))).alias("t"))
-    roots = connected_components(ties.select("t.a", "t.b").distinct())
-    return rows.join(roots.withColumnRenamed("node", "_first"), "_first", "left").withColumn("group_no", F.coalesce("root", "_first")).drop("_keys", "_first", "root")
+    ties = rows.select(F.explode(F.transform(F.slice("_keys", 2, len(keys)), lambda k: F.struct(F.get("_keys", F.lit(0)).alias("a"), k.alias("b")))).alias("t"))
+    roots = connected_components(ties.select("t.a", "t.b"))
+    return rows.join(mark_small(cut(roots.select(F.col("node").alias("_first"), "root"), "roots")), "_first", "left").withColumn("group_no", F.coalesce("root", "_first")).drop("_keys", "_first", "root")
 
 
 def quotas(sizes: list[tuple[int, int]], shares: dict[str, float]) -> list[tuple[int, str, int, int]]:
