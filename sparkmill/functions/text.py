@@ -58,7 +58,7 @@ def unquoted(text: Column) -> Column:
 def listed(text: Column) -> Column:
     """The items of "a, b"; of an empty text and of {} none."""
     inner = F.regexp_replace(F.coalesce(text, F.lit("")), r"^\{\}$", "")
-    return F.filter(F.transform(F.split(inner, ","), F.trim), lambda x: x != "")
+    return F.filter(F.transform(F.split(inner, ","), lambda x: F.trim(x)), lambda x: x != "")
 
 
 def without_fence(text: Column) -> Column:

@@ -20,7 +20,7 @@ def ranked(df: DataFrame, group: list[str], order: Column, name: str = "rank", p
     df = df.withColumn("_o", order)
     if slots == 1:
         return df.withColumn(name, F.row_number().over(W.partitionBy(*group).orderBy("_o")) - 1).drop("_o")
-    df = df.withColumn("_s", F.floor((F.col("_o").cast("double") / 2**64 + 0.5) * slots).cast("int"))
+    df = df.withColumn("_s", F.floor((F.col("_o").cast("double") / 2.0**64 + 0.5) * slots).cast("int"))
     n = df.groupBy(*group, "_s").agg(F.count("*").alias("_n"))
     before = F.coalesce(F.sum("_n").over(W.partitionBy(*group).orderBy("_s").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
     n = cut(n.select(*group, "_s", before.alias("_b")), "slots")

@@ -54,8 +54,8 @@ def test_split_count(spark):
 
 
 def test_first_json(spark):
-    got = many(spark, ['x {"a": "}\\"{"} y {}', "[1, [2]] tail", "none", "", None, '{"a": [1}'], X.first_json)
-    assert got == ['{"a": "}\\"{"}', "[1, [2]]", None, None, None, None]
+    got = many(spark, ['x {"a": "}\\"{"} y {}', "[1, [2]] tail", "none", "", None, '{"a": [1}', '{"a": [1]'], X.first_json)
+    assert got == ['{"a": "}\\"{"}', "[1, [2]]", None, None, None, '{"a": [1}', None]  # only the opener's own kind is counted
 
 
 def test_canonical_json_keeps_number_text_and_drops_keys(spark):
