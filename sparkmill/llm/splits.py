@@ -31,7 +31,7 @@ def related(rows: DataFrame, keys: list[str]) -> DataFrame:
         return rows.withColumnRenamed("_first", "group_no").drop("_keys")
     ties = rows.select(F.explode(F.transform(F.slice("_keys", 2, len(keys)), lambda k: F.struct(F.get("_keys", F.lit(0)).alias("a"), k.alias("b")))).alias("t"))
     roots = connected_components(ties.select("t.a", "t.b"))
-    return rows.join(mark_small(cut(roots.select(F.col("node").alias("_first"), "root"), "roots")), "_first", "left").withColumn("group_no", F.coalesce("root", "_first")).drop("_keys", "_first", "root")
+    return rows.join(mark_small(cut(roots.select(F.col("node").alias("_first"), F.col("root").alias("_root")), "roots")), "_first", "left").withColumn("group_no", F.coalesce("_root", "_first")).drop("_keys", "_first", "_root")
 
 
 def quotas(sizes: list[tuple[int, int]], shares: dict[str, float]) -> list[tuple[int, str, int, int]]:
@@ -89,8 +89,11 @@ def assign(groups: DataFrame, shares: dict[str, float]) -> DataFrame:
 
 
 def grouped_split(rows: DataFrame, keys: list[str], shares: dict[str, float]) -> DataFrame:
-    """`rows` with group_no, size and new_split: all records of a group in one split, the splits near their shares."""
-    r = related(rows, keys)
+    """`rows` with group_no, size and new_split: all records of a group in one split, the splits near their shares.
+
+    Columns of these names that `rows` brings are replaced. Repeated records count as often as they stand there; no rows give none.
+    """
+    r = related(rows.drop(*({"group_no", "size", "new_split"} - set(keys))), keys)
     groups = cut(r.groupBy("group_no").agg(F.count("*").alias("size")), "groups")
     return r.join(assign(groups, shares), "group_no")
 
