@@ -3,12 +3,10 @@
 from __future__ import annotations
 
 import atexit
-import math
-import os
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 _LOCAL_WORK: str | None = None
 _WRITTEN: dict[str, SparkSession] = {}
@@ -47,6 +45,8 @@ def shared_dir(spark: SparkSession) -> str:
 
 def _forget(path: str) -> None:
     spark = _WRITTEN.pop(path, None)
+    if spark is None:
+        return
     try:
         sc = spark.sparkContext
         p = sc._jvm.org.apache.hadoop.fs.Path(path)
@@ -68,28 +68,25 @@ def new_path(spark: SparkSession, name: str) -> str:
     return path
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
 def cut(df: DataFrame, name: str = "cut") -> DataFrame:
     """Write `df` as a table in the shared folder and read it back: lineage ends there, and a lost executor costs nothing."""
     path = new_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    back = df.sparkSession.read.schema(df.schema).parquet(path)
+    back._cut_path = path
+    return back
 
 
 def drop_cut(df: DataFrame) -> None:
     """Remove the files of a table made by `cut` that no later plan reads."""
-    for f in df.inputFiles()[:1]:
-        root = os.path.dirname(f)
-        for path in list(_WRITTEN):
-            if root.split("://")[-1].lstrip("/") == path.split("://")[-1].split(":")[-1].lstrip("/"):
-                _forget(path)
-
-
-def parts_for(rows: int, per_part: int, least: int = 1) -> int:
-    return max(least, math.ceil(rows / per_part))
+    _forget(getattr(df, "_cut_path", ""))
 
 
 def mark_small(df: DataFrame, most: int = 500_000) -> DataFrame:
     """A written narrow table, marked for broadcast if its counted rows are few enough; else as it is, for a shuffled join."""
-    from pyspark.sql import functions as F
-
     return F.broadcast(df) if df.count() <= most else df

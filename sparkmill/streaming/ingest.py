@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from ..session import new_path
+from ..session import exists, new_path
 
 
 class Intake:
@@ -23,10 +23,8 @@ class Intake:
         self.spark, self.path, self.key, self.prepare = spark, path, key, prepare
 
     def _ledger(self, before: int) -> DataFrame | None:
-        try:
-            return self.spark.read.parquet(f"{self.path}/ledger").where(F.col("batch") < before)
-        except Exception:
-            return None
+        path = f"{self.path}/ledger"
+        return self.spark.read.parquet(path).where(F.col("batch") < before) if exists(self.spark, path) else None
 
     def take(self, df: DataFrame, batch: int) -> None:
         rows = self.prepare(df).withColumn("_hash", F.sha2(F.to_json(F.struct(*self.key)), 256)).dropDuplicates(["_hash"])
