@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions.textnorm import like, norm
 from ..operators.components import connected_components
-from ..session import cut, new_path
+from ..session import cut, exists, new_path
 from . import battle
 
 FIRST = -(2**62)  # the batch of what was accepted before any batch
@@ -83,10 +83,8 @@ class LinkageStore:
         return self.spark.read.parquet(f"{self.path}/{name}/round={self.round}")
 
     def table(self, name: str) -> DataFrame | None:
-        try:
-            return self.spark.read.option("basePath", f"{self.path}/{name}").parquet(f"{self.path}/{name}")
-        except Exception:
-            return None
+        path = f"{self.path}/{name}"
+        return self.spark.read.option("basePath", path).parquet(path) if exists(self.spark, path) else None
 
     def _add(self, df: DataFrame) -> DataFrame:
         e = self._write(self._encode(df), "entities")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.textnorm import base_text, norm, part
 from ..session import table
-from . import leaks, neargroups, overlap, packing, quota, spam, splits
+from . import leaks, neargroups, overlap, packing, quota, spam, splits, suffixes
 from .linkage import LinkageStore
 
 COMMAND, BASE, AREA = "command_spec.command_text", "command_spec.base_command_text", "input.input.area_situation"
@@ -64,6 +64,17 @@ def p7_counts(spark: SparkSession, sf: str) -> DataFrame:
     return held.join(of, "no").groupBy("split", "gen_source").agg(F.count("*").alias("n_pairs"), F.countDistinct("no").alias("n_records"))
 
 
+def p7_coverage(spark: SparkSession, sf: str) -> DataFrame:
+    """Of each command outside train: how much of it stands in commands of train, by a suffix array, and the longest such span."""
+    a = table(spark, sf, "accepted_samples").select("sample_no", part(F.col("split")).alias("part"), "gen_source", norm(F.col(COMMAND)).alias("text"))
+    a = a.withColumn("tid", F.xxhash64("text"))
+    texts = a.groupBy("tid", "text").agg(F.bit_or(F.when(F.col("part") == "train", 2).otherwise(1)).alias("side"))
+    spans = suffixes.shared_spans(texts).drop("other")
+    out = a.where("part <> 'train'").join(spans, "tid", "left")
+    share = F.coalesce(F.col("covered") / F.length("text"), F.lit(0.0))
+    return out.select("sample_no", "part", "gen_source", F.round(share, 6).alias("covered_share"), F.coalesce("longest", F.lit(0)).alias("longest"))
+
+
 def _families(spark: SparkSession, sf: str) -> DataFrame:
     a = table(spark, sf, "accepted_samples")
     base = F.coalesce(base_text(F.col(COMMAND), F.col(BASE)), F.lit(""))
@@ -146,5 +157,5 @@ def p10_found(spark: SparkSession, sf: str) -> DataFrame:
     return p10_share(spark, sf).where("spam_share > 0.5").select("doc_id")
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_clusters, p4_found, p4_groups, p2_found, p2_splits, p5_found, p5_report, p5_draw, p7_found, p7_counts, p8_found, p8_containers, p8_unused, p9_found, p9_alignments, p10_share, p10_found)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_clusters, p4_found, p4_groups, p2_found, p2_splits, p5_found, p5_report, p5_draw, p7_found, p7_counts, p7_coverage, p8_found, p8_containers, p8_unused, p9_found, p9_alignments, p10_share, p10_found)}
 ORACLE_SQL: dict[str, str] = {}
