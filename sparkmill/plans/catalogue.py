@@ -116,7 +116,7 @@ def duplicate_stats(spark, sf):
     return dedup.duplicate_stats(table(spark, sf, "documents").withColumn("source", F.coalesce("source", F.lit(""))), ["source"], F.col("text"))
 
 
-@query(f"SELECT count(*) AS n_leaves, CAST(sum(n_rows) AS BIGINT) AS n_rows, CAST(sum(n_duplicates) AS BIGINT) AS n_duplicates, max(largest) AS largest FROM ({_STATS}) WHERE n_duplicates > 0")
+@query(f"SELECT count(*) AS n_leaves, CAST(coalesce(sum(n_rows), 0) AS BIGINT) AS n_rows, CAST(coalesce(sum(n_duplicates), 0) AS BIGINT) AS n_duplicates, coalesce(max(largest), 0) AS largest FROM ({_STATS}) WHERE n_duplicates > 0")
 def duplicate_totals(spark, sf):
     return dedup.totals(duplicate_stats(spark, sf), only_duplicates=True)
 
