@@ -22,7 +22,8 @@ from ..session import cut
 
 BUCKETS = 1 << 18
 LIKE = 0.6  # the integer bounds below are those of 6/10
-TASK_PAIRS, TASK_ENTRIES = 60_000_000, 400_000
+TASK_PAIRS, TASK_ENTRIES = 15_000_000, 100_000  # of one key; a task gets about KEYS of them, one after the other
+KEYS = 4
 BLOCK = 2_000_000
 ENTRY = np.dtype([("tid", "<i8"), ("b0", "<u8"), ("b1", "<u8"), ("bm", "<u4"), ("size", "<u4"), ("pos", "<u2")])
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -195,7 +196,7 @@ def like_pairs(texts: DataFrame) -> DataFrame:
     texts = texts.where(F.length("text") >= 2)
     rank, dest, grid, tasks = _plan(spark, texts)
     lists = texts.mapInArrow(_entries(rank, dest, grid), "key long, side int, blob binary")
-    found = cut(lists.repartition(max(1, tasks), "key").groupBy("key").applyInArrow(_compare, "x long, y long").distinct(), "pairs")
+    found = cut(lists.repartition(max(8, tasks // KEYS), "key").groupBy("key").applyInArrow(_compare, "x long, y long").distinct(), "pairs")
     side = lambda s: texts.select(F.col("tid").alias(s), F.col("text").alias(f"t_{s}"))
     close = found.join(side("x"), "x").join(side("y"), "y").where(like("t_x", "t_y") >= LIKE).select("x", "y")
     return close.unionAll(texts.where(F.col("mask").bitwiseAND(F.shiftright("mask", 1)).bitwiseAND(5) > 0).select(F.col("tid").alias("x"), F.col("tid").alias("y")))
