@@ -25,6 +25,7 @@ LIKE = 0.6  # the integer bounds below are those of 6/10
 TASK_PAIRS, TASK_ENTRIES = 15_000_000, 100_000  # of one key; a task gets about KEYS of them, one after the other
 KEYS = 4
 BLOCK = 2_000_000
+NO_SIZE = np.int64(1 << 40)
 ENTRY = np.dtype([("tid", "<i8"), ("b0", "<u8"), ("b1", "<u8"), ("bm", "<u4"), ("size", "<u4"), ("pos", "<u2")])
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -66,21 +67,25 @@ def _listed(texts: list[str], rank: np.ndarray) -> tuple[np.ndarray, ...]:
 
 def _prefix_counts(rank: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        left, right = np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64)
+        count, least = np.zeros((2, BUCKETS), np.int64), np.full((2, BUCKETS), NO_SIZE)
         for b in batches:
             row, _, bucket, pos, n, _ = _listed(b.column("text").to_pylist(), rank)
             mask = b.column("mask").to_numpy(zero_copy_only=False)[row]
             first = pos <= n - (6 * n + 9) // 10
-            left += np.bincount(bucket[first & (mask & 5 > 0)], minlength=BUCKETS)
-            right += np.bincount(bucket[first & (mask & 10 > 0)], minlength=BUCKETS)
-        at = np.nonzero(left + right)[0]
-        yield pa.RecordBatch.from_pydict({"bucket": at, "l": left[at], "r": right[at]})
+            for side, bits in ((0, 5), (1, 10)):
+                mine = first & (mask & bits > 0)
+                count[side] += np.bincount(bucket[mine], minlength=BUCKETS)
+                np.minimum.at(least[side], bucket[mine], n[mine])
+        at = np.nonzero(count.any(0))[0]
+        yield pa.RecordBatch.from_pydict({"bucket": at, "l": count[0][at], "r": count[1][at], "l_least": least[0][at], "r_least": least[1][at]})
 
     return run
 
 
-def _entries(rank: np.ndarray, dest: np.ndarray, grid: np.ndarray):
-    """Packed list entries by task key. dest: a bucket's first key, -1 for none; grid: into how many blocks either side is cut."""
+def _entries(rank: np.ndarray, dest: np.ndarray, grid: np.ndarray, least: np.ndarray):
+    """Packed list entries by task key. dest: a bucket's first key, -1 for none; grid: into how many blocks either side is cut; least:
+    the smallest size either side has in a bucket. An entry so far back that even that partner could not reach the likeness is left out.
+    """
 
     def pack(kept: list[np.ndarray], sides: list[np.ndarray], keys: list[np.ndarray]) -> pa.RecordBatch:
         e, side, key = np.concatenate(kept), np.concatenate(sides), np.concatenate(keys)
@@ -104,13 +109,14 @@ def _entries(rank: np.ndarray, dest: np.ndarray, grid: np.ndarray):
             tid, mask = b.column("tid").to_numpy(), b.column("mask").to_numpy(zero_copy_only=False).astype(np.int64)
             first = (pos <= n - (6 * n + 9) // 10) & (dest[bucket] >= 0)
             row, bucket, pos, n, nth = row[first], bucket[first], pos[first], n[first], nth[first]
+            useful = [8 * (n - pos) >= 3 * (n + least[1 - side][bucket]) for side in (0, 1)]
             e = np.zeros(len(row), ENTRY)
             e["tid"], e["b0"], e["b1"] = tid[row], b0[nth], b1[nth]
             e["bm"], e["size"], e["pos"] = (bucket << 4) | mask[row], n, np.minimum(pos, 65535)
             g = grid[bucket]
             block = (tid[row].astype(np.uint64) * _MIX >> np.uint64(32)).astype(np.int64) % g
             for side, bits in ((0, 5), (1, 10)):
-                mine = mask[row] & bits > 0
+                mine = (mask[row] & bits > 0) & useful[side]
                 for k in range(int(g.max(initial=1))):  # blocks of the other side
                     use = mine & (g > k)
                     if use.any():
@@ -162,17 +168,19 @@ def _compare(key: tuple[pa.Scalar, ...], groups: Iterator[pa.RecordBatch]) -> It
             yield pa.RecordBatch.from_pydict({"x": pairs[i : i + 100_000, 0].copy(), "y": pairs[i : i + 100_000, 1].copy()})
 
 
-def _plan(spark, texts: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray, int]:
-    """Rank, first task key and grid of each bucket, and the number of tasks; from two fixed-size histograms."""
+def _plan(texts: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, int]:
+    """Rank, first task key, grid and least sizes of each bucket, and the number of tasks; from two fixed-size histograms."""
     n = np.zeros(BUCKETS, np.int64)
     for r in texts.select("text").mapInArrow(_counts, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow().to_batches():
         n[r.column(0).to_numpy()] = r.column(1).to_numpy()
     rank = np.empty(BUCKETS, np.int64)
     rank[np.lexsort((np.arange(BUCKETS), n))] = np.arange(BUCKETS)
     left, right = np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64)
-    held = texts.select("text", "mask").mapInArrow(_prefix_counts(rank), "bucket long, l long, r long").groupBy("bucket").agg(F.sum("l").alias("l"), F.sum("r").alias("r"))
-    for r in held.toArrow().to_batches():
-        left[r.column(0).to_numpy()], right[r.column(0).to_numpy()] = r.column(1).to_numpy(), r.column(2).to_numpy()
+    least = np.full((2, BUCKETS), NO_SIZE)
+    held = texts.select("text", "mask").mapInArrow(_prefix_counts(rank), "bucket long, l long, r long, l_least long, r_least long")
+    for r in held.groupBy("bucket").agg(F.sum("l"), F.sum("r"), F.min("l_least"), F.min("r_least")).toArrow().to_batches():
+        at, left_n, right_n, *sizes = (c.to_numpy() for c in r.columns)
+        left[at], right[at], least[:, at] = left_n, right_n, np.stack(sizes)
     pairs, entries = left.astype(float) * right, left + right
     used = pairs > 0
     grid = np.where(used, np.maximum(1, np.ceil(np.sqrt(np.maximum(pairs / TASK_PAIRS, entries / (4 * TASK_ENTRIES))))), 1).astype(np.int64)
@@ -182,7 +190,7 @@ def _plan(spark, texts: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray,
     dest[light] = (np.arange(BUCKETS)[light] * 2654435761 % (1 << 32)) % tasks
     heavy = np.nonzero(used & (grid > 1))[0]
     dest[heavy] = tasks + np.r_[0, np.cumsum(grid[heavy] ** 2)[:-1]] if len(heavy) else dest[heavy]
-    return rank, dest, grid, tasks + int((grid[heavy] ** 2).sum())
+    return rank, dest, grid, least, tasks + int((grid[heavy] ** 2).sum())
 
 
 def like_pairs(texts: DataFrame) -> DataFrame:
@@ -192,10 +200,9 @@ def like_pairs(texts: DataFrame) -> DataFrame:
     and 4 with 8 are compared. A text that stands on both sides is paired with itself. Texts without pieces are like nothing;
     no texts give no pairs.
     """
-    spark = texts.sparkSession
     texts = texts.where(F.length("text") >= 2)
-    rank, dest, grid, tasks = _plan(spark, texts)
-    lists = texts.mapInArrow(_entries(rank, dest, grid), "key long, side int, blob binary")
+    rank, dest, grid, least, tasks = _plan(texts)
+    lists = texts.mapInArrow(_entries(rank, dest, grid, least), "key long, side int, blob binary")
     found = cut(lists.repartition(max(8, tasks // KEYS), "key").groupBy("key").applyInArrow(_compare, "x long, y long").distinct(), "pairs")
     side = lambda s: texts.select(F.col("tid").alias(s), F.col("text").alias(f"t_{s}"))
     close = found.join(side("x"), "x").join(side("y"), "y").where(like("t_x", "t_y") >= LIKE).select("x", "y")
