@@ -158,4 +158,26 @@ def p10_found(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (p1_found, p1_clusters, p4_found, p4_groups, p2_found, p2_splits, p5_found, p5_report, p5_draw, p7_found, p7_counts, p7_coverage, p8_found, p8_containers, p8_unused, p9_found, p9_alignments, p10_share, p10_found)}
-ORACLE_SQL: dict[str, str] = {}
+_PLAIN = "replace(replace(lower(regexp_replace({0}, '^\\s+|\\s+$', '', 'g')), '-', '_'), ' ', '_')"
+
+
+def _plain_sql(x: str) -> str:
+    return _PLAIN.format(x)
+
+
+_SHORT = f"""
+WITH s AS (SELECT CASE lower(regexp_replace(coalesce(split, ''), '^\\s+|\\s+$', '', 'g')) WHEN '' THEN 'train' WHEN 'val' THEN 'validation'
+    ELSE lower(regexp_replace(split, '^\\s+|\\s+$', '', 'g')) END AS split, {_plain_sql("metadata.intent_family")} AS intent,
+  unnest([{{'axis': 'intent_family', 'value': metadata.intent_family}}, {{'axis': 'action_pattern', 'value': metadata.action_pattern}}, {{'axis': 'scenario_family', 'value': metadata.scenario_family}},
+    {{'axis': 'skill_family', 'value': skill_case.skill_family}}, {{'axis': 'conflict_type', 'value': CASE WHEN skill_case IS NOT NULL THEN coalesce(skill_case.conflict_type, 'null') END}}]) AS a FROM accepted_samples),
+c AS (SELECT split, a.axis AS axis, intent, {_plain_sql("a.value")} AS value, count(*) AS n FROM s WHERE a.value IS NOT NULL GROUP BY ALL),
+g AS (SELECT r.request_no, d.value AS category, r.split, r.axis, {_plain_sql("r.parent")} AS parent, {_plain_sql("d.value")} AS value, round(r.sample_size * d.target_pct / 100, 6) AS n_want,
+  greatest(r.min_rows, CAST(ceil(r.sample_size * d.target_pct / 100) AS BIGINT)) AS n_need FROM sample_requests r JOIN taxonomy_dim d ON r.axis = d.axis AND r.parent IS NOT DISTINCT FROM d.parent),
+f AS (SELECT request_no, category, n_want, n_need, CAST(coalesce(sum(n), 0) AS BIGINT) AS n_have
+  FROM g LEFT JOIN c ON g.split = c.split AND g.axis = c.axis AND g.value = c.value AND (g.parent IS NULL OR g.parent = c.intent) GROUP BY ALL)"""
+
+ORACLE_SQL: dict[str, str] = {
+    "p5_found": _SHORT + " SELECT request_no, category FROM f WHERE n_have < n_need",
+    "p5_report": _SHORT + " SELECT *, n_have < n_need AS is_short FROM f",
+    "p8_found": "SELECT limit_name, doc_id FROM documents, pack_limits WHERE strlen(coalesce(text, '')) + 1 > capacity_tokens",
+}
