@@ -76,7 +76,8 @@ class LinkageStore:
 
     def _encode(self, df: DataFrame) -> DataFrame:
         e = df.select(F.col("no").cast("long").alias("no"), F.col("batch").cast("long").alias("batch"), F.col("id").cast("string").alias("id"), "area", norm(F.col("text")).alias("text"))
-        return battle.with_units(e, F.col("area")).drop("area").where("no is not null").withColumn("eid", F.xxhash64("units", "text"))
+        e = battle.with_units(e, F.col("area")).drop("area")
+        return e.where("no is not null").withColumn("eid", F.xxhash64("units", "text"))
 
     def _write(self, df: DataFrame, name: str) -> DataFrame:
         df.write.mode("append").parquet(f"{self.path}/{name}/round={self.round}")
@@ -129,9 +130,14 @@ class LinkageStore:
         return links
 
     def _probe(self, new: DataFrame, entities: DataFrame) -> DataFrame:
-        keys = self.table("keys").select("k", F.col("eid").alias("x"))
-        pk = new.select(F.col("eid").alias("y"), F.explode(battle.block_keys(F.col("units"), True)).alias("k"))
-        return battle.probed(keys, pk, entities, new, ["text"])
+        """Of the history's key table one narrow scan: a semi join with the batch's keys, by broadcast for batches of usual size.
+
+        All else, heavy lists included, is as large as the batch and what it touches.
+        """
+        pk = cut(new.select(F.col("eid").alias("y"), F.explode(battle.block_keys(F.col("units"), True)).alias("k")), "probes")
+        asked = cut(pk.select("k").distinct(), "asked")
+        touched = cut(self.table("keys").select("k", F.col("eid").alias("x")).join(battle.small(asked), "k", "left_semi"), "touched")
+        return battle.probed(touched, pk, entities, new, ["text"])
 
     def _score(self) -> Column:
         pick = lambda f: F.element_at(F.array(*[F.lit(w) for w in self.weights[f]]), F.col(f) + 1)
