@@ -146,9 +146,9 @@ FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY 1""")
 def strict_ref_join(spark, sf):
     l, o = table(spark, sf, "lineitem").select("l_orderkey"), table(spark, sf, "orders").select("o_orderkey", "o_orderstatus")
     got = l.join(o, l.l_orderkey == o.o_orderkey).groupBy("o_orderstatus").agg(F.count("*").alias("n"), F.countDistinct("o_orderkey").alias("n_keys"))
-    repeated = o.agg((F.count("o_orderkey") - F.countDistinct("o_orderkey")).alias("n_repeated_keys"))
-    missing = l.join(o, l.l_orderkey == o.o_orderkey, "left_anti").agg(F.count("*").alias("n_missing"))
-    return got.join(F.broadcast(repeated)).join(F.broadcast(missing))  # one row each
+    repeated = o.agg(F.count("o_orderkey") - F.countDistinct("o_orderkey")).first()[0]
+    missing = l.join(o, l.l_orderkey == o.o_orderkey, "left_anti").count()
+    return got.withColumns({"n_repeated_keys": F.lit(repeated).cast("long"), "n_missing": F.lit(missing).cast("long")})
 
 
 @query("SELECT count(*) AS n, count(DISTINCT request_key) AS n_keys FROM (SELECT DISTINCT * FROM batch_trace)")

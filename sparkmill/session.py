@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -59,6 +60,8 @@ def _forget(path: str) -> None:
 def _forget_all() -> None:
     for path in list(_WRITTEN):
         _forget(path)
+    if _LOCAL_WORK:
+        shutil.rmtree(_LOCAL_WORK, ignore_errors=True)
 
 
 def new_path(spark: SparkSession, name: str) -> str:
