@@ -183,7 +183,8 @@ def leaks(docs: DataFrame, items: DataFrame, least_score: int = MATCH * RUN) ->
         for r in found.select(F.explode("grams").alias("g")).groupBy("g").count().toArrow().to_batches():
             n[r.column(0).to_numpy()] = r.column(1).to_numpy()
         seed = it.seeds(n) if len(it.h) else np.zeros(0, bool)
-        rare = found.repartition(max(8, found.sparkSession.sparkContext.defaultParallelism)).select("id", "text")
+        parts = max(8, found.sparkSession.sparkContext.defaultParallelism, found.count() // 2_000)
+        rare = found.repartition(parts).select("id", "text")
         return rare.mapInPandas(_score(it, seed, least_score), "id long, item_id long, score long, share double, run long")
 
     for r in items.select("item_id", "text").toLocalIterator():
