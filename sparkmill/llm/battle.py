@@ -27,7 +27,7 @@ def _ratio(x: Column) -> Column:
 def with_units(df: DataFrame, area: Column) -> DataFrame:
     """`df` with units, array<int> of three numbers a slot: a hash of the classes (null: no such unit), and the two ratios.
 
-    Only the compared fields are read. A slot's unit is found by the place of its id, so all of it is generated code without lambdas.
+    Only the compared fields are read, as long as nothing that may not be reordered (such as norm) comes before. A slot's unit is found by the place of its id, so all of it is generated code without lambdas.
     """
     names = ["unitId", "isAlive", "canBeTargeted", "isRanged", "teamFormationRole", "engagedByOpponentCount", "hpRatio", "attackRatioToAvg"]
     df = df.withColumns({f"_{side[0]}_{n}": area[side][n] for side in ("allies", "enemies") for n in names})

@@ -75,8 +75,8 @@ class LinkageStore:
         self.weights: dict[str, list[float]] | None = None
 
     def _encode(self, df: DataFrame) -> DataFrame:
-        e = df.select(F.col("no").cast("long").alias("no"), F.col("batch").cast("long").alias("batch"), F.col("id").cast("string").alias("id"), "area", norm(F.col("text")).alias("text"))
-        e = battle.with_units(e, F.col("area")).drop("area")
+        e = df.select(F.col("no").cast("long").alias("no"), F.col("batch").cast("long").alias("batch"), F.col("id").cast("string").alias("id"), "area", "text")
+        e = battle.with_units(e, F.col("area")).select("no", "batch", "id", "units", norm(F.col("text")).alias("text"))
         return e.where("no is not null").withColumn("eid", F.xxhash64("units", "text"))
 
     def _write(self, df: DataFrame, name: str) -> DataFrame:
