@@ -599,6 +599,55 @@ def flatten_items(spark, sf):
     return i.select("sample_no", "action_pos", F.col("seq_pos").cast("long").alias("seq_pos"), "unit_id", F.col("x.type").alias("item_type"), F.count("*").over(W.partitionBy("sample_no")).alias("n_items"))
 
 
+@query("""
+SELECT d.value AS skill_family, coalesce(f.is_aoe, d.ord % 2 = 0) AS is_aoe, f.is_aoe IS NULL AS by_default FROM taxonomy_dim d
+LEFT JOIN (SELECT skill_case.skill_family AS value, arg_min(skill_case.is_skill_aoe, sample_no) AS is_aoe FROM accepted_samples WHERE skill_case.is_skill_aoe IS NOT NULL GROUP BY 1) f USING (value)
+WHERE d.axis = 'skill_family' AND d.parent IS NULL""")
+def first_match_default(spark, sf):
+    a = table(spark, sf, "accepted_samples").select("sample_no", F.col("skill_case.skill_family").alias("value"), F.col("skill_case.is_skill_aoe").alias("f")).where("f is not null")
+    first = a.groupBy("value").agg(F.min_by("f", "sample_no").alias("f"))
+    d = table(spark, sf, "taxonomy_dim").where("axis = 'skill_family' and parent is null").join(first, "value", "left")
+    return d.select(F.col("value").alias("skill_family"), F.coalesce("f", F.col("ord") % 2 == 0).alias("is_aoe"), F.col("f").isNull().alias("by_default"))
+
+
+@query("""
+SELECT coalesce(command_spec.base_command_text, '') AS family, count(DISTINCT skill_case.skill_family) AS n_values, count(DISTINCT skill_case.skill_family) <= 1 AS is_single,
+  CASE WHEN count(DISTINCT skill_case.skill_family) = 1 THEN min(skill_case.skill_family) END AS value FROM accepted_samples GROUP BY 1""")
+def single_value(spark, sf):
+    v = F.col("skill_case.skill_family")
+    a = table(spark, sf, "accepted_samples").groupBy(F.coalesce(F.col(BASE), F.lit("")).alias("family")).agg(F.countDistinct(v).alias("n_values"), F.min(v).alias("v"))
+    return a.select("family", "n_values", (F.col("n_values") <= 1).alias("is_single"), F.when(F.col("n_values") == 1, F.col("v")).alias("value"))
+
+
+@query("""
+SELECT coalesce(command_spec.base_command_text, '') AS family, arg_min(command_spec.command_text, sample_no) AS first_text, arg_min(metadata.command_style, sample_no) AS first_style,
+  count(*) AS n, count(DISTINCT command_spec.command_text) AS n_texts, min(sample_no) AS first_no FROM accepted_samples WHERE metadata.command_style IS NOT NULL GROUP BY 1""")
+def family_buckets(spark, sf):
+    a = table(spark, sf, "accepted_samples").where("metadata.command_style is not null")
+    return a.groupBy(F.coalesce(F.col(BASE), F.lit("")).alias("family")).agg(
+        F.min_by(F.col(COMMAND), "sample_no").alias("first_text"), F.min_by(F.col("metadata.command_style"), "sample_no").alias("first_style"),
+        F.count("*").alias("n"), F.countDistinct(COMMAND).alias("n_texts"), F.min("sample_no").alias("first_no"),
+    )
+
+
+@query("""
+WITH u AS (SELECT sample_no, unnest(input.input.area_situation.allies) AS u, generate_subscripts(input.input.area_situation.allies, 1) AS place FROM accepted_samples)
+SELECT sample_no, place, u.unitId AS unit_id, u.hpRatio AS hp, round(max(u.hpRatio) OVER (PARTITION BY sample_no) - u.hpRatio, 6) AS below_best FROM u""")
+def unit_table(spark, sf):
+    a = table(spark, sf, "accepted_samples").select("sample_no", F.posexplode(F.arrays_zip(_units("allies")["unitId"].alias("i"), _units("allies")["hpRatio"].alias("h"))).alias("place", "u"))
+    return a.select("sample_no", (F.col("place") + 1).cast("long").alias("place"), F.col("u.i").alias("unit_id"), F.col("u.h").alias("hp"), F.round(F.max("u.h").over(W.partitionBy("sample_no")) - F.col("u.h"), 6).alias("below_best"))
+
+
+@query("""
+SELECT feed, file_no, count(*) AS n_lines, count(DISTINCT line_no) AS n_places, count(*) FILTER (raw IS NULL OR trim(raw) = '') AS n_empty, count(DISTINCT sha256(raw)) AS n_contents FROM drift_lines GROUP BY 1, 2""")
+def file_profile(spark, sf):
+    d = runs.fingerprints(table(spark, sf, "drift_lines").select("feed", "file_no", "line_no", "raw"), F.col("raw"))
+    return d.groupBy("feed", "file_no").agg(
+        F.count("*").alias("n_lines"), F.countDistinct("line_no").alias("n_places"), F.count_if(F.col("raw").isNull() | (F.trim("raw") == "")).alias("n_empty"),
+        F.countDistinct(F.when(F.col("raw").isNotNull(), F.col("sha256"))).alias("n_contents"),
+    )
+
+
 # Streams ------------------------------------------------------------------------------------------------------------------------
 
 
