@@ -150,17 +150,18 @@ def _score(items: Items, seed: np.ndarray, least: int):
                     for i, p in by_gram.get(k, ()):
                         places.setdefault(i, []).append(x - p)  # where the item would begin
                 for i, begins in places.items():
-                    a, best = codes[i], (0, 0, 0, 0)
+                    a, best, longest = codes[i], 0, 0  # the best window need not be the one with the longest run
                     reach, begins = 2 * len(codes[i]), sorted(set(begins))
                     lo = hi = None
                     for x in [*begins, None]:  # windows around the places, joined where they overlap
                         if lo is not None and (x is None or x - len(a) > hi):
-                            best = max(best, align(a, d[max(0, lo) : hi]))
+                            score, _, _, common = align(a, d[max(0, lo) : hi])
+                            best, longest = max(best, score), max(longest, common)
                             lo = None
                         if x is not None:
                             lo, hi = x - len(a) if lo is None else lo, x + reach
-                    if best[0] >= least:
-                        out.append((doc_id, items.ids[i], best[0], best[0] / (MATCH * len(a)), best[3]))
+                    if best >= least:
+                        out.append((doc_id, items.ids[i], best, best / (MATCH * len(a)), longest))
             yield pd.DataFrame(out, columns=["id", "item_id", "score", "share", "run"])
 
     return run
@@ -170,7 +171,7 @@ def leaks(docs: DataFrame, items: DataFrame, least_score: int = MATCH * RUN) ->
     """(id, item_id, score, share, run): documents and items that share a passage, one row for each pair.
 
     `docs`: id, text; `items`: item_id, text. `score` is the best local alignment of the item with the document, `share` that of the item's own
-    score, `run` the longest common run. Every pair with a common run of RUN characters is given; edited copies are if a SEED of
+    score, `run` the longest common run, which may lie elsewhere in the document. Every pair with a common run of RUN characters is given; edited copies are if a SEED of
     them is left and the alignment reaches `least_score`. Null and short texts have no passages; repeated rows give one row; no rows give none.
     """
     texts = docs.select(F.col("id").cast("long").alias("id"), norm(F.col("text")).alias("text")).where(F.length("text") >= SEED)

@@ -47,6 +47,19 @@ def test_every_common_run_is_found(spark, block, monkeypatch):
     assert len(got) == len({(r["id"], r["item_id"]) for r in got})
 
 
+def test_an_exact_fragment_far_from_an_edited_copy(spark):
+    rng = random.Random(6)
+    item = words(rng, 40).replace(" ", "")
+    edits = range(35, len(item), 36)
+    edited = "".join("힣" if k in edits else c for k, c in enumerate(item))  # no run over 35, but the better score
+    around = " ".join(item[k - 19 : k + 20] + words(rng, 2) for k in edits)  # makes n-grams over the edits common, so that seeds lie between them
+    docs = [(1, edited + words(rng, 400) + item[10 : 10 + leaks.RUN + 2] + words(rng, 5)), (2, edited), (3, around), (4, around), (5, around)]
+    got = leaks.leaks(spark.createDataFrame(docs, "id long, text string"), spark.createDataFrame([(7, item)], "item_id long, text string"))
+    got = {r["id"]: r for r in got.collect()}
+    assert got[1]["score"] == got[2]["score"] > leaks.MATCH * (leaks.RUN + 2)
+    assert got[1]["run"] == leaks.RUN + 2 and got[2]["run"] == 35
+
+
 def test_nothing_leaks_from_nothing(spark):
     docs, items = corpus(1)
     d, i = spark.createDataFrame(docs, "id long, text string"), spark.createDataFrame(items, "item_id long, text string")
