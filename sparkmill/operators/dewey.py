@@ -61,18 +61,20 @@ def roots(value, wrap: str) -> list:
     return each(value)
 
 
-def nodes(value, lists: frozenset[str], wrap: str) -> Iterator[tuple]:
+def nodes(value, lists: frozenset[str], wrap: str, only: frozenset[str] | None = None) -> Iterator[tuple]:
     """(path, label, parent path, parent label, places, fields) of the records of a parsed text and of the objects in the lists of `lists`.
 
     Objects that are no list elements belong to their nearest labelled ancestor: their scalars are its fields under dotted names. Lists
-    not named stay fields as JSON.
+    not named stay fields as JSON. `only`: the paths whose records are given, all if None.
     """
+    on_way = lists if only is None else {p for p in lists if any(q == p or q.startswith(f"{p}.") for q in only)}
     stack = [("", (i,), r, None, None) for i, r in reversed(list(enumerate(roots(value, wrap))))]
     while stack:
         path, places, obj, up, up_places = stack.pop()
         obj = opened(obj)
         if not isinstance(obj, dict):
             continue
+        wanted = only is None or path in only
         fields: dict[str, str] = {}
         children: list[tuple] = []
         walk = [("", obj)]
@@ -82,26 +84,28 @@ def nodes(value, lists: frozenset[str], wrap: str) -> Iterator[tuple]:
                 at = f"{prefix}{name}"
                 full = f"{path}.{at}" if path else at
                 if full in lists:
-                    children += [(full, (*places, i), x, path, places) for i, x in enumerate(each(v))]
+                    if full in on_way:
+                        children += [(full, (*places, i), x, path, places) for i, x in enumerate(each(v))]
                     continue
                 inner = opened(v) if isinstance(v, str) and v[:1] in "{[" else v
                 if isinstance(inner, dict):
                     walk.append((f"{at}.", inner))
-                elif v is not None:
+                elif v is not None and wanted:
                     fields[at] = _text(v)
         stack += reversed(children)
         dotted = lambda p: None if p is None else ".".join(map(str, p))
-        yield path, dotted(places), up, dotted(up_places), list(places), list(fields.items())
+        if wanted:
+            yield path, dotted(places), up, dotted(up_places), list(places), list(fields.items())
 
 
-def _label(lists: frozenset[str], wrap: str):
+def _label(lists: frozenset[str], wrap: str, only: frozenset[str] | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             rows: list[tuple] = []
             for key, raw in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 value = parse(raw)
                 if value is not None:
-                    rows += [(key, *n) for n in nodes(value, lists, wrap)]
+                    rows += [(key, *n) for n in nodes(value, lists, wrap, only)]
                 if len(rows) > 20_000:
                     yield _batch(rows)
                     rows = []
@@ -115,17 +119,21 @@ def _batch(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _SCHEMA)], schema=_SCHEMA)
 
 
-def label(df: DataFrame, key: str, raw: str, lists: list[str], wrap: str = "samples") -> DataFrame:
+def label(df: DataFrame, key: str, raw: str, lists: list[str], wrap: str = "samples", only: list[str] | None = None) -> DataFrame:
     """Nodes (key, path, label, parent_path, parent_label, places, fields) of all records in a column of JSON texts.
 
-    `lists`: the schema paths whose elements become rows of their own; the root is always one (path ""). Texts that are null, empty or
+    `lists`: the schema paths whose elements become rows of their own; the root is always one (path ""). `only`: the paths to give, if not all. Texts that are null, empty or
     not valid JSON give nothing. A text delivered again under its key gives its nodes again: see `flat`.
     """
-    return df.select(F.col(key).cast("long").alias("key"), F.col(raw).alias("raw")).where("key is not null").mapInArrow(_label(frozenset(lists), wrap), NODE)
+    return df.select(F.col(key).cast("long").alias("key"), F.col(raw).alias("raw")).where("key is not null").mapInArrow(_label(frozenset(lists), wrap, None if only is None else frozenset(only)), NODE)
 
 
-def flat(nodes: DataFrame, path: str | list[str], fields: dict[str, str]) -> DataFrame:
-    """One table: key, label, parent_label, path, places and `fields` (column to dotted field name) of the nodes on `path`, once per key and label."""
+def flat(nodes: DataFrame, path: str | list[str], fields: dict[str, str], rest: str | None = None) -> DataFrame:
+    """One table: key, label, parent_label, path, places and `fields` (column to dotted field name) of the nodes on `path`, once per key and label.
+
+    `rest`: a column for the map of all other fields, by dotted name in order; lists that `label` made rows of are not in it.
+    """
     paths = [path] if isinstance(path, str) else path
-    picked = nodes.where(F.col("path").isin(paths)).select("key", "path", "label", "parent_label", "places", *[F.col("fields")[name].alias(c) for c, name in fields.items()])
+    others = [F.map_from_entries(F.array_sort(F.map_entries(F.map_filter("fields", lambda k, _: ~k.isin(list(fields.values())))))).alias(rest)] if rest else []
+    picked = nodes.where(F.col("path").isin(paths)).select("key", "path", "label", "parent_label", "places", *[F.col("fields")[name].alias(c) for c, name in fields.items()], *others)
     return picked.dropDuplicates(["key", "path", "label"])

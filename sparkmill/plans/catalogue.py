@@ -668,8 +668,8 @@ ACTION, ITEM = "output.action", "output.action.sequence"
 UNITS = [f"{at}.{side}" for at in ("input.input.area_situation", "input.area_situation") for side in ("allies", "enemies")]
 
 
-def _nodes(spark, sf, lists):
-    return dewey.label(table(spark, sf, "raw_generations"), "record_no", "raw", lists)
+def _nodes(spark, sf, lists, only=None):
+    return dewey.label(table(spark, sf, "raw_generations"), "record_no", "raw", lists, only=only)
 
 
 @query()
@@ -683,17 +683,28 @@ def p3_found(spark, sf):
 
 
 def _p3_table(name, path, fields):
+    """A table of all fields on `path`: those named as columns, the others as JSON in `rest`; what is a row of another table is in neither."""
+
     def run(spark, sf):
-        paths = [path] if isinstance(path, str) else path
-        lists = [p for p in (ACTION, ITEM, *UNITS) if any(q == p or q.startswith(f"{p}.") for q in paths)]
-        return dewey.flat(_nodes(spark, sf, lists), path, fields).withColumnRenamed("key", "record_no").drop("places")
+        flat = dewey.flat(_nodes(spark, sf, [ACTION, ITEM, *UNITS], [path] if isinstance(path, str) else path), path, fields, "rest")
+        return flat.withColumnRenamed("key", "record_no").withColumn("rest", F.to_json("rest")).drop("places")
 
     run.__name__ = name
     QUERIES[name] = run
 
 
-_p3_table("p3_records", "", {"id": "id", "split": "split", "command_text": "command_spec.command_text", "base_command_text": "command_spec.base_command_text", "slots_target": "command_spec.slots.target", "thinking": "output.thinking"})
-_p3_table("p3_units", UNITS, {c: c for c in ("unitId", "isAlive", "canBeTargeted", "isRanged", "hpRatio", "attackRatioToAvg", "engagedByOpponentCount", "teamFormationRole")})
+_METADATA = ("intent_family", "command_style", "actor_selection", "target_selection", "action_pattern", "scenario_family", "edge_flags", "difficulty")
+_UNIT = ("unitId", "isAlive", "canBeTargeted", "isRanged", "hpRatio", "attackRatioToAvg", "engagedByOpponentCount", "teamFormationRole")
+_ALLY = (
+    "skillDescription", "IsSkillOnSelf", "IsSkillOnOtherAlly", "isSkillAoe", "canSkillTargetDead",
+    "closestTargetableOpponent", "farthestTargetableOpponent", "closestAliveAlly", "farthestAliveAlly",
+)
+_p3_table("p3_records", "", {
+    "id": "id", "split": "split", "command_text": "command_spec.command_text", "base_command_text": "command_spec.base_command_text",
+    **{f"slots_{c}": f"command_spec.slots.{c}" for c in ("target", "actors", "mentioned_units")}, **{c: f"metadata.{c}" for c in _METADATA},
+    "input_input_command": "input.input.command", "input_command": "input.command", "thinking": "output.thinking", "dialog": "output.dialog",
+})
+_p3_table("p3_units", UNITS, {c: c for c in (*_UNIT, *_ALLY)})
 _p3_table("p3_actions", ACTION, {"unit_id": "unitId"})
 _p3_table("p3_items", ITEM, {c: c for c in ("type", "subtype", "movementType", "to", "target", "description", "durationSec", "mode")})
 

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sparkmill.operators import dewey, drift
+from sparkmill.plans.catalogue import QUERIES
 
 LISTS = ["output.action", "output.action.sequence"]
 
@@ -43,6 +44,45 @@ def test_labels_places_and_parents(spark):
     assert records == {(1, "0"), (2, "0"), (2, "2"), (3, "0"), (9, "0")}
 
 
+def test_tables_hold_every_field(spark, tmp_path):
+    ally = {"unitId": "A_01", "hpRatio": 0.5, "skillDescription": "s", "IsSkillOnSelf": False, "isSkillAoe": True, "farthestAliveAlly": "A_06", "mood": {"now": "calm"}}
+    act = {"unitId": "A_01", "note": "n", "sequence": [{"type": "x", "speed": 2}]}
+    record = {
+        "id": "a", "command_spec": {"command_text": "c", "slots": {"target": ["E_01"], "actors": ["A_01"], "mentioned_units": ["E_02"], "pace": "fast"}},
+        "metadata": {"intent_family": "i", "edge_flags": ["f"], "reviewer": "r"}, "output": {"dialog": [{"unitId": "A_01", "text": "yes"}], "action": [act]},
+        "input": {"input": {"command": "c", "area_situation": {"allies": [ally], "enemies": [{"unitId": "E_01", "isRanged": True}]}}},
+    }
+    rows = [(1, json.dumps(record)), (1, json.dumps(record)), (2, json.dumps({"input": {"command": "d", "area_situation": {"allies": {"unitId": "A_02"}}}}))]
+    spark.createDataFrame(rows, "record_no long, raw string").write.parquet(f"{tmp_path}/raw_generations.parquet")
+
+    def got(name):
+        out = {}
+        for r in QUERIES[name](spark, str(tmp_path)).collect():
+            r = r.asDict()
+            rest = json.loads(r.pop("rest"))
+            place = r.pop("record_no"), r.pop("path").rpartition(".")[2], r.pop("label"), r.pop("parent_label")
+            assert place not in out
+            out[place] = {k: v for k, v in r.items() if v is not None}, rest
+        return out
+
+    assert got("p3_units") == {
+        (1, "allies", "0.0", "0"): ({"unitId": "A_01", "hpRatio": "0.5", "skillDescription": "s", "IsSkillOnSelf": "false", "isSkillAoe": "true", "farthestAliveAlly": "A_06"}, {"mood.now": "calm"}),
+        (1, "enemies", "0.0", "0"): ({"unitId": "E_01", "isRanged": "true"}, {}), (2, "allies", "0.0", "0"): ({"unitId": "A_02"}, {}),
+    }
+    assert got("p3_records") == {
+        (1, "", "0", None): (
+            {
+                "id": "a", "command_text": "c", "slots_target": '["E_01"]', "slots_actors": '["A_01"]', "slots_mentioned_units": '["E_02"]', "intent_family": "i", "edge_flags": '["f"]',
+                "dialog": '[{"text":"yes","unitId":"A_01"}]', "input_input_command": "c",
+            },
+            {"command_spec.slots.pace": "fast", "metadata.reviewer": "r"},
+        ),
+        (2, "", "0", None): ({"input_command": "d"}, {}),
+    }
+    assert got("p3_actions") == {(1, "action", "0.0", "0"): ({"unit_id": "A_01"}, {"note": "n"})}
+    assert got("p3_items") == {(1, "sequence", "0.0.0", "0.0"): ({"type": "x"}, {"speed": "2"})}
+
+
 def test_no_records(spark):
     assert dewey.label(spark.createDataFrame([], "k long, r string"), "k", "r", LISTS).count() == 0
 
