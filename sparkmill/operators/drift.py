@@ -170,12 +170,29 @@ def changes(lines: DataFrame, least_share: float = 0.5) -> DataFrame:
 
 
 def _chains(g: pd.DataFrame) -> pd.DataFrame:
-    """From each file with a rename on, the names that stand for an earlier one."""
-    first: dict[str, str] = {}
+    """From each file with a change on, the names that stand for others, no two columns of a file under one name."""
+    known = {*g["old_path"], *g["new_path"]}
+    first: dict[str, str] = {}  # of the columns there, those that go by another name than their path
+    asleep: dict[str, str] = {}  # the same of removed ones, should they return
+    back: set[str] = set()  # columns added under their own path that are there
     out = []
     for no, part in g.sort_values("file_no").groupby("file_no"):
-        moved = {b: first.get(a, a) for a, b in zip(part["old_path"], part["new_path"])}
-        first = {k: v for k, v in first.items() if k not in set(part["old_path"])} | moved
+        of = lambda change, c: part.loc[part["change"] == change, c].tolist()
+        renamed, removed = dict(zip(of("renamed", "new_path"), of("renamed", "old_path"))), of("removed", "old_path")
+        moved = {b: first.get(a, a) for b, a in renamed.items()}
+        gone = {*renamed.values(), *removed}
+        asleep = {k: v for k, v in (asleep | {p: first[p] for p in removed if p in first}).items() if k not in moved}
+        first = {k: v for k, v in first.items() if k not in gone} | moved
+        back -= gone | set(moved)
+        for p in sorted(of("added", "new_path"), key=lambda p: (p not in asleep, p)):
+            own = f"{p}@{no}"
+            while own in known or own in first.values():
+                own += "@"
+            name = next((x for x in (asleep.pop(p, p), p) if x not in first.values() and x not in back), own)
+            if name == p:
+                back.add(p)
+            else:
+                first[p] = name
         out.append((g["feed"].iloc[0], no, dict(first)))
     return pd.DataFrame(out, columns=["feed", "from_no", "names"])
 
@@ -202,10 +219,11 @@ def _unify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def unified(lines: DataFrame, found: DataFrame) -> DataFrame:
     """(feed, file_no, line_no, fields): every valid line once, its values under the first name each column had in its feed.
 
-    `found` is what `changes` gives for the same lines. Values of changed type stand as they are, as text.
+    `found` is what `changes` gives for the same lines. Values of changed type stand as they are, as text. A path that is added while a renamed
+    column goes by it gets a name of its own, the path with @ and the number of its file; a removed column returns under its old name if that is free.
     """
     lines = lines.select(F.coalesce("feed", F.lit("")).alias("feed"), F.col("file_no").cast("long").alias("file_no"), F.col("line_no").cast("long").alias("line_no"), "raw")
-    names = cut(found.where("change = 'renamed'").groupBy("feed").applyInPandas(_chains, "feed string, from_no long, names map<string,string>"), "names")
+    names = cut(found.where("change in ('renamed', 'removed', 'added')").groupBy("feed").applyInPandas(_chains, "feed string, from_no long, names map<string,string>"), "names")
     files = lines.select("feed", "file_no").distinct()
     of = files.join(names, "feed").where("from_no <= file_no").groupBy("feed", "file_no").agg(F.max_by("names", "from_no").alias("names"))
     held = lines.join(mark_small(cut(of, "of"), 20_000), ["feed", "file_no"], "left").select("feed", "file_no", "line_no", "raw", "names")

@@ -118,6 +118,18 @@ def test_one_consistent_table(spark):
     assert len(got) == 10
 
 
+def test_names_that_return_lose_no_value(spark):
+    files = [
+        [("p", {"a": "p"}), ("p", {"b": "p"}), ("p", {"b": "p", "a": "z"}), ("p", {"a": "z"}), ("p", {"b": "p", "a": "z"}), ("p", {"c": "p", "a": "z"})],
+        [("q", {"a": "p"}), ("q", {"b": "p"}), ("q", {"a": "z"}), ("q", {"a": "z", "b": "p"})],
+    ]
+    df = lines(spark, {(feed, no): [{"s": r}] for rows in files for no, (feed, r) in enumerate(rows)})
+    found = drift.changes(df)
+    got = {(r["feed"], r["file_no"]): r["fields"] for r in drift.unified(df, found).collect()}
+    assert [got["p", k] for k in range(6)] == [{"s.a": "p"}, {"s.a": "p"}, {"s.a": "p", "s.a@2": "z"}, {"s.a@2": "z"}, {"s.a": "p", "s.a@2": "z"}, {"s.a": "p", "s.a@2": "z"}]
+    assert [got["q", k] for k in range(4)] == [{"s.a": "p"}, {"s.a": "p"}, {"s.a": "z"}, {"s.a": "z", "s.b": "p"}]
+
+
 def test_no_lines(spark):
     assert drift.changes(lines(spark, {("f", 0): [None]}).where("false")).count() == 0
 
