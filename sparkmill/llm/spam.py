@@ -95,8 +95,8 @@ def language(text: str, given: str | None) -> str:
     g = (given or "").strip().lower()[:2]
     if g and g != "un":
         return g
-    letters = sum(map(str.isalpha, text[:20_000]))
-    return "ko" if 3 * sum("가" <= c <= "힣" for c in text[:20_000]) > letters else "en"
+    letters = sum(map(str.isalpha, text))
+    return "ko" if 3 * sum("가" <= c <= "힣" for c in text) > letters else "en"
 
 
 def plain(text: str) -> str:

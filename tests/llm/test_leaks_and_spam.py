@@ -101,3 +101,9 @@ def test_spam_windows_share(spark):
 def test_windows_hold_all_text():
     t = "가나다 라마\n\n" + "긴 줄 " * 500 + "\n짧은 줄"
     assert "".join("".join(spam.windows(t)).split()) == "".join(t.split())
+
+
+def test_language_is_of_the_whole_text():
+    head, body = "hold the bridge " * 1_500, "다리를 지켜라 " * 20_000
+    assert len(head) > 20_000 and spam.language(head + body, None) == spam.language(body + head, "und") == "ko"
+    assert spam.language(body[:30_000] + head * 10, " ") == spam.language(head, None) == "en"
