@@ -34,11 +34,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir of the session, or, only where that is unset, a temporary one."""
+    """The folder all executors share: spark.checkpoint.dir of the session. Only where that is unset and everything runs in this one
+    process (a local master), it is a temporary folder; on a cluster an unset folder is an error, as each machine would write to its own disk."""
     global _LOCAL_WORK
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if found:
         return found.rstrip("/")
+    master = spark.sparkContext.master
+    if not (master == "local" or master.startswith("local[")):
+        raise RuntimeError("spark.checkpoint.dir is not set: name a folder that all executors share")
     if _LOCAL_WORK is None:
         _LOCAL_WORK = tempfile.mkdtemp(prefix="sparkmill-")
     return f"file://{_LOCAL_WORK}"

@@ -42,6 +42,10 @@ def test_part(spark):
 
 def test_family_key(spark):
     assert many(spark, [" A_01은  E_02를 공격해 !", "A_03 , E_04 쪽", "BA_01 그대로", None, ""], X.family_key) == ["A_ID{JOSA_ST} E_ID{JOSA_OBJ} 공격해!", "A_ID, E_ID 쪽", "BA_01 그대로", None, ""]
+    odd = ["A_01 은 가", "A_01은; 가", "A_01은행 가", "E_ID을 A_ID  이 , .", "부대A_01이 가", "A_01,A_02,E_03를", "A_012 A_1 _A_01", "AE_01 A_01 ,, ! 끝  ?", ", , ."]
+    assert many(spark, odd, X.family_key) == [
+        "A_ID{JOSA_ST} 가", "A_ID{JOSA_ST}; 가", "A_ID은행 가", "E_ID{JOSA_OBJ} A_ID{JOSA_ST},.", "부대A_ID{JOSA_ST} 가", "A_ID, A_ID, E_ID{JOSA_OBJ}", "A_012 A_1 _A_01", "AE_01 A_ID, ,! 끝?", ", ,.",
+    ]
 
 
 def test_comments_keep_slot_separators(spark):
@@ -55,7 +59,8 @@ def test_split_count(spark):
 
 def test_first_json(spark):
     got = many(spark, ['x {"a": "}\\"{"} y {}', "[1, [2]] tail", "none", "", None, '{"a": [1}', '{"a": [1]'], X.first_json)
-    assert got == ['{"a": "}\\"{"}', "[1, [2]]", None, None, None, '{"a": [1}', None]  # only the opener's own kind is counted
+    assert got == ['{"a": "}\\"{"}', "[1, [2]]", None, None, None, None, None]  # what begins at the first bracket must be whole
+    assert X.found_json("[" * 100_000) is None
 
 
 def test_canonical_json_keeps_number_text_and_drops_keys(spark):
