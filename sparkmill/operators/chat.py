@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
+
+from .rank import running
 
 ROLES = ("system", "user", "assistant")
 
@@ -24,14 +26,16 @@ def prompt_completion(m: Column) -> Column:
 def restore(rows: DataFrame, sources: DataFrame, key: str, row_order: str, source_order: str, consume: bool) -> DataFrame:
     """Rows with the source of the same key: always the first one, or, with `consume`, the n-th row of a key the n-th source.
 
-    Keys may be long texts: what is shuffled and sorted by is their SHA-256. Rows without a source keep null.
+    Keys may be long texts: what is shuffled and sorted by is their SHA-256. Rows without a source keep null. Without `consume` sources are
+    aggregated, not sorted; with it, places come from sums over ranges, so that one key may hold any share of the rows.
     """
     r, s = rows.withColumn("_h", F.sha2(F.col(key), 256)), sources.withColumn("_h", F.sha2(F.col(key), 256)).drop(key)
-    s = s.withColumn("_n", F.row_number().over(W.partitionBy("_h").orderBy(source_order)))
     if consume:
-        r = r.withColumn("_n", F.row_number().over(W.partitionBy("_h").orderBy(row_order)))
+        one = F.lit(1).cast("long")
+        r, s = running(r, one, ["_h"], [row_order], "_n"), running(s, one, ["_h"], [source_order], "_n")
         return r.join(s, ["_h", "_n"], "left").drop("_h", "_n")
-    return r.join(s.where("_n = 1").drop("_n"), "_h", "left").drop("_h")
+    first = s.where("_h is not null").groupBy("_h").agg(F.min_by(F.struct(*[c for c in s.columns if c != "_h"]), source_order).alias("_s"))
+    return r.join(first, "_h", "left").select(*[c for c in r.columns if c != "_h"], "_s.*")
 
 
 def shuffled(df: DataFrame, seed: int, ref: Column) -> DataFrame:

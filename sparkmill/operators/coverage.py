@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
+from .rank import running
+
 
 def rollup_shares(leaves: DataFrame, levels: list[str], n: str = "n") -> DataFrame:
     """Every level's counts from counted leaves, with depth and the share of the parent's count; absent levels are null.
@@ -37,9 +39,9 @@ def axis_counts(df: DataFrame, axes: dict[str, Column]) -> DataFrame:
 
 
 def slot_index(df: DataFrame, path: list[str], text: str, first: str) -> DataFrame:
-    """1-based place of each (path, text) among its path's texts in text order, ties by where they are first seen."""
+    """1-based place of each (path, text) among its path's texts in text order, by sums over ranges: a path may hold any share of the texts."""
     leaf = df.groupBy(*path, text).agg(F.min(first).alias("first_seen"), F.count("*").alias("n"))
-    return leaf.withColumn("slot", F.row_number().over(W.partitionBy(*path).orderBy(text, "first_seen")).cast("long"))
+    return running(leaf, F.lit(1).cast("long"), path, [text], "slot").withColumn("slot", F.col("slot") + 1)
 
 
 def ordinals(dim: DataFrame, parent: list[str], order: list) -> DataFrame:

@@ -28,3 +28,55 @@ def ranked(df: DataFrame, group: list[str], order: Column, name: str = "rank", p
     joined = df.alias("d").join(mark_small(n).alias("n"), same).select("d.*", "n._b")
     at = F.row_number().over(W.partitionBy(*group, "_s").orderBy("_o")) - 1
     return joined.withColumn(name, at + F.col("_b")).drop("_o", "_s", "_b")
+
+
+def running(df: DataFrame, value: Column, group: list[str], order: list[str], name: str) -> DataFrame:
+    """`df` with the sum of `value` over the rows before each in its group, by `order` (ties by the other columns' hash); null values add nothing.
+
+    Rows are spread by ranges of group and order, so a group of any size is many tasks' work; each range's sum comes from one aggregate and is added
+    to the ranges after it. A group's table of ranges has at most as many rows as there are partitions. Column names that begin with _r are taken.
+    """
+    spark = df.sparkSession
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    keys = [*group, *order, "_rt"]
+    d = df.withColumn("_rv", F.coalesce(value, F.lit(0))).withColumn("_rt", F.xxhash64(*df.columns))
+    d = cut(d.repartitionByRange(parts, *keys).withColumn("_rp", F.spark_partition_id()), "ranges")
+    sums = d.groupBy(*group, "_rp").agg(F.sum("_rv").alias("_rs"))
+    before = F.coalesce(F.sum("_rs").over(W.partitionBy(*group).orderBy("_rp").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    sums = cut(sums.select(*group, "_rp", before.alias("_rb")), "sums")
+    same = [F.col(f"d.{c}").eqNullSafe(F.col(f"s.{c}")) for c in [*group, "_rp"]]
+    inside = F.coalesce(F.sum("_rv").over(W.partitionBy(*group, "_rp").orderBy(*order, "_rt").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    joined = d.alias("d").join(mark_small(sums).alias("s"), same).select("d.*", "s._rb")
+    return joined.withColumn(name, inside + F.col("_rb")).drop("_rv", "_rt", "_rp", "_rb")
+
+
+def percentiles(df: DataFrame, group: list[str], values: dict[str, Column], shares: tuple[float, ...], accuracy: int = 1_000) -> DataFrame:
+    """One row for each group (null is one) with the exact interpolated percentiles of non-null numbers, columns <name>_p<percent>; null where there are none.
+
+    A first pass sketches, for each percentile, two values it lies between; a second counts the values below and keeps those between, at most
+    about 6/`accuracy` of a group, from which the two order statistics are read. No group is sorted or gathered whole.
+    """
+    names = [(n, s, f"_{n}_{i}") for n in values for i, s in enumerate(shares)]
+    d = df.select(*group, *[c.cast("double").alias(f"_v_{n}") for n, c in values.items()])
+    step = 2.0 / accuracy
+    ends = lambda s: F.array(F.lit(max(0.0, s - step)), F.lit(min(1.0, s + step)))
+    sketch = [F.percentile_approx(f"_v_{n}", ends(s), accuracy).alias(k) for n, s, k in names]
+    whole = [f(F.col(f"_v_{n}")).alias(f"_{w}_{n}") for n in values for w, f in (("n", F.count), ("lo", F.min), ("hi", F.max))]
+    b = cut(d.groupBy(*group).agg(*sketch, *whole), "brackets")
+    low = lambda n, s, k: F.when(F.lit(s <= step), F.col(f"_lo_{n}")).otherwise(F.col(k)[0])
+    high = lambda n, s, k: F.when(F.lit(s >= 1 - step), F.col(f"_hi_{n}")).otherwise(F.col(k)[1])
+    both = d.alias("d").join(mark_small(b).alias("b"), [F.col(f"d.{c}").eqNullSafe(F.col(f"b.{c}")) for c in group])
+    aggs = []
+    for n, s, k in names:
+        v = F.col(f"_v_{n}")
+        aggs += [F.count_if(v < low(n, s, k)).alias(f"{k}_b"), F.collect_list(F.when((v >= low(n, s, k)) & (v <= high(n, s, k)), v)).alias(f"{k}_l")]
+        aggs += [F.first(f"_n_{n}").alias(f"{k}_n")]
+    got = both.groupBy(*[F.col(f"d.{c}").alias(c) for c in group]).agg(*aggs)
+    out = []
+    for n, s, k in names:
+        at = F.lit(s) * (F.col(f"{k}_n") - 1)
+        held = F.array_sort(f"{k}_l")
+        pick = lambda i: F.get(held, (i - F.col(f"{k}_b")).cast("int"))  # noqa: B023, E731
+        a, z = pick(F.floor(at)), pick(F.ceil(at))
+        out.append((a + (z - a) * (at - F.floor(at))).alias(f"{n}_p{round(s * 100)}"))
+    return got.select(*group, *out)

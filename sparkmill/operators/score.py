@@ -4,26 +4,33 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
+from .rank import percentiles
+
 
 def rate(flag: Column) -> Column:
     """Share of rows where the flag is true; null counts as false; no rows give null."""
     return F.avg(F.coalesce(flag, F.lit(False)).cast("int"))
 
 
-def summary(flags: dict[str, Column], measures: dict[str, Column], percents: tuple[float, ...] = (0.5, 0.95)) -> list[Column]:
-    """Aggregates of a score table: n, a rate per flag, and per measure its mean and interpolated percentiles over non-null values."""
-    out = [F.count("*").alias("n")] + [rate(c).alias(f"{k}_rate") for k, c in flags.items()]
-    for k, c in measures.items():
-        out += [F.avg(c).alias(f"{k}_mean"), *[F.percentile(c, F.lit(p)).alias(f"{k}_p{round(p * 100)}") for p in percents]]
-    return out
+def summary(df: DataFrame, group: list[str], flags: dict[str, Column], measures: dict[str, Column], percents: tuple[float, ...] = (0.5, 0.95)) -> DataFrame:
+    """A score table: n, a rate for each flag, and for each measure its mean and exact interpolated percentiles over non-null values; one row a group."""
+    plain = [F.count("*").alias("n"), *[rate(c).alias(f"{k}_rate") for k, c in flags.items()], *[F.avg(c).alias(f"{k}_mean") for k, c in measures.items()]]
+    keys = group or ["_all"]
+    a = df.groupBy(*group).agg(*plain) if group else df.agg(*plain).withColumn("_all", F.lit(0))
+    p = percentiles(df if group else df.withColumn("_all", F.lit(0)), keys, measures, percents)
+    joined = a.alias("a").join(p.alias("p"), [F.col(f"a.{c}").eqNullSafe(F.col(f"p.{c}")) for c in keys], "left")
+    return joined.select("a.*", *[f"p.{c}" for c in p.columns if c not in keys]).drop("_all")
+
+
+def breakdown(df: DataFrame, axes: dict[str, Column], flags: dict[str, Column], measures: dict[str, Column], percents: tuple[float, ...] = (0.5, 0.95)) -> DataFrame:
+    """The summary for each value of each axis: axis, value (null as "unknown"), and the summary's columns."""
+    return summary(by_axes(df, axes), ["axis", "value"], flags, measures, percents)
 
 
-def breakdown(df: DataFrame, axes: dict[str, Column], aggregates: list[Column]) -> DataFrame:
-    """The aggregates for each value of each axis (null as "unknown"), all axes in one grouping-sets pass."""
-    named = df.withColumns({f"_x_{a}": F.coalesce(c.cast("string"), F.lit("unknown")) for a, c in axes.items()})
-    cols = [f"_x_{a}" for a in axes]
-    got = named.groupingSets([[c] for c in cols], *cols).agg(*aggregates, F.coalesce(*cols).alias("value"), F.coalesce(*[F.when(F.grouping(c) == 0, F.lit(a)) for a, c in zip(axes, cols)]).alias("axis"))
-    return got.select("axis", "value", *[c for c in got.columns if c not in (*cols, "axis", "value")])
+def by_axes(df: DataFrame, axes: dict[str, Column]) -> DataFrame:
+    """Every row once for each axis, with `axis` and `value` (null as "unknown")."""
+    each = F.array(*[F.struct(F.lit(a).alias("axis"), F.coalesce(c.cast("string"), F.lit("unknown")).alias("value")) for a, c in axes.items()])
+    return df.withColumn("_x", F.explode(each)).select("*", "_x.axis", "_x.value").drop("_x")
 
 
 def breakdown_check(parts: DataFrame, total: int | Column) -> DataFrame:

@@ -123,16 +123,71 @@ def test_chat(spark):
 
 def test_scores(spark):
     df = spark.createDataFrame([("a", True, 1.0), ("a", None, 3.0), (None, True, None)], "g string, ok boolean, v double")
-    agg = score.summary({"ok": F.col("ok")}, {"v": F.col("v")})
-    s = df.agg(*agg).first()
+    how = ({"ok": F.col("ok")}, {"v": F.col("v")})
+    s = score.summary(df, [], *how).first()
     assert (s["n"], round(s["ok_rate"], 6), s["v_mean"], s["v_p50"]) == (3, 0.666667, 2.0, 2.0)
-    parts = score.breakdown(df, {"g": F.col("g")}, agg)
+    parts = score.breakdown(df, {"g": F.col("g")}, *how)
     assert rows(parts, "axis", "value", "n") == [("g", "a", 2), ("g", "unknown", 1)]
     assert rows(score.breakdown_check(parts, 3), "n_unknown", "is_whole") == [(1, True)]
-    empty = df.where("false").agg(*agg).first()
+    empty = score.summary(df.where("false"), [], *how).first()
     assert empty["n"] == 0 and empty["ok_rate"] is None and empty["v_p95"] is None
 
 
+@pytest.mark.parametrize("accuracy", [10, 1000])
+def test_percentiles_are_exact(spark, accuracy):
+    rng = random.Random(accuracy)
+    data = [(rng.choice(["a", "a", "b", None]), rng.choice([None, rng.random(), float(rng.randrange(5))])) for _ in range(3000)] + [("one", 4.0), ("none", None)]
+    got = rank.percentiles(spark.createDataFrame(data, "g string, v double").repartition(5), ["g"], {"v": F.col("v")}, (0.0, 0.25, 0.5, 0.95, 1.0), accuracy)
+    for r in got.collect():
+        held = sorted(v for g, v in data if g == r["g"] and v is not None)
+        for p in (0, 25, 50, 95, 100):
+            at = p / 100 * (len(held) - 1)
+            low = int(at)
+            want = held[low] + (held[min(low + 1, len(held) - 1)] - held[low]) * (at - low) if held else None
+            assert r[f"v_p{p}"] == want or abs(r[f"v_p{p}"] - want) < 1e-9
+    assert got.count() == 5
+
+
+def test_running_sums_over_ranges(spark):
+    rng = random.Random(4)
+    data = [("hot" if i % 3 else rng.choice(["x", None]), rng.randrange(50), rng.choice([None, 1, 2, 7]), i) for i in range(400)]
+    got = rank.running(spark.createDataFrame(data, "g string, o int, v int, i int").repartition(7), F.col("v"), ["g"], ["o", "i"], "before").collect()
+    for r in got:
+        assert r["before"] == sum(v or 0 for g, o, v, i in data if g == r["g"] and (o, i) < (r["o"], r["i"]))
+    assert len(got) == 400
+
+
+@pytest.mark.parametrize("width", [3, 10_000])
+def test_intervals_against_all_places(spark, width):
+    rng = random.Random(width)
+    items = [(rng.choice("ab"), i, rng.choice([None, 0, 1, 5, 20])) for i in range(40)]
+    outs = [(rng.choice("abc"), rng.randrange(150), f"o{i}") for i in range(200)] + [("a", -1, "neg")]
+    want = []
+    for g, pos, o in outs:
+        at = 0
+        for h, i, n in items:
+            if h == g and n:
+                if at <= pos < at + n:
+                    want.append((g, i, n, pos, o))
+                at += n
+    got = planner.assign_intervals(spark.createDataFrame(items, "g string, item int, n int"), spark.createDataFrame(outs, "g string, pos int, o string"), ["g"], "n", ["item"], "pos", width)
+    assert rows(got) == sorted(want, key=repr)
+
+
+def test_greedy_pairs_against_a_plain_search(spark):
+    rng = random.Random(2)
+    data = [("g", i, rng.choice(["a", "b", "c", None]), rng.randrange(1, 10)) for i in range(60)]
+    free, want = list(data), []
+    while free:
+        first = free.pop(0)
+        mate = next((x for x in free if x[2] != first[2] and x[3] + first[3] <= 10), None)
+        if mate:
+            free.remove(mate)
+        want.append(("g", first[1], mate and mate[1]))
+    df = spark.createDataFrame([(*d, d[1]) for d in data], "g string, item long, k string, n long, at int")
+    assert rows(planner.greedy_pairs(df, "g", "item", "k", "n", "at", 10)) == sorted(want, key=repr)
+
+
 def test_runs(spark):
     a, b = spark.createDataFrame([(1, "x"), (2, "y")], "i int, l string"), spark.createDataFrame([(2, "q"), (3, "r")], "i int, r string")
     assert rows(runs.reconcile(a, b, ["i"], {"l": "-", "r": "-"}), "i", "l", "r", "status") == [(1, "x", "-", "no_response"), (2, "y", "q", "ok"), (3, "-", "r", "no_request")]
