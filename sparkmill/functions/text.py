@@ -169,3 +169,14 @@ def strict_variant(text: Column) -> Column:
 def lenient_int(v: Column) -> Column:
     """A number of a JSON text as long if it is a whole one; booleans, texts and fractions give null."""
     return F.when(v.rlike(r"^-?[0-9]+(\.0+)?$"), v.try_cast("double").try_cast("long"))
+
+
+def lenient_number(v: Column) -> Column:
+    """A finite number of a JSON text as double; booleans, texts, NaN and infinities give null."""
+    d = F.when(v.rlike(r"^-?[0-9]+(\.[0-9]+)?([eE][+-]?[0-9]+)?$"), v.try_cast("double"))
+    return F.when(F.abs(d) < float("inf"), d)
+
+
+def lenient_bool(v: Column, default: bool) -> Column:
+    """true or false of a JSON text; all else gives the default."""
+    return F.when(v == "true", True).when(v == "false", False).otherwise(F.lit(default))

@@ -19,6 +19,12 @@ def contract(m: Column) -> Column:
     return F.coalesce((roles == F.array(*map(F.lit, ROLES))) & ~F.exists(m, lambda x: x["content"].isNull()), F.lit(False))
 
 
+def answers_json(m: Column, keys: list[str]) -> Column:
+    """Whether the last message is a JSON object with exactly these keys."""
+    found = F.json_object_keys(F.try_element_at(m, F.lit(-1))["content"])
+    return F.coalesce(F.array_sort(found) == F.array(*[F.lit(k) for k in sorted(keys)]), F.lit(False))
+
+
 def prompt_completion(m: Column) -> Column:
     return F.struct(F.slice(m, 1, F.greatest(F.size(m) - 1, F.lit(0))).alias("prompt"), F.try_element_at(m, F.lit(-1)).alias("completion"))
 

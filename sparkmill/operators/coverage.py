@@ -50,3 +50,15 @@ def ordinals(dim: DataFrame, parent: list[str], order: list) -> DataFrame:
 
 def outside_dimension(df: DataFrame, dim: DataFrame, keys: list[str]) -> DataFrame:
     return df.join(dim.select(*keys).distinct(), keys, "left_anti")
+
+
+def with_targets(shares: DataFrame, levels: list[str], dim: DataFrame, under: dict[str, str]) -> DataFrame:
+    """Rolled-up shares with target_pct of each row's deepest level: the dimension's row of that axis and value, and, for levels named in `under`, of the
+    parent that stands in that other level. Null where the dimension has none."""
+    axis, value = F.get(F.array(*map(F.lit, levels)), (F.col("depth") - 1).cast("int")), F.coalesce(*levels[::-1])
+    parent = F.lit(None).cast("string")
+    for level, above in under.items():
+        parent = F.when(axis == level, F.col(above)).otherwise(parent)
+    d = dim.select(F.col("axis").alias("_a"), F.col("parent").alias("_p"), F.col("value").alias("_v"), "target_pct")
+    s = shares.withColumns({"_axis": axis, "_value": value, "_parent": F.coalesce(parent, F.lit(""))})
+    return s.join(d, (F.col("_axis") == F.col("_a")) & (F.col("_value") == F.col("_v")) & (F.col("_parent") == F.coalesce("_p", F.lit(""))), "left").drop("_a", "_p", "_v", "_axis", "_value", "_parent")

@@ -38,3 +38,22 @@ def reference_stats(refs: DataFrame, lookup: DataFrame, leaf: list[str], ref: st
     """References of each leaf that are found and missing in `lookup`; what the lookup holds twice counts once."""
     known = lookup.select(ref).distinct().withColumn("_hit", F.lit(1))
     return refs.join(known, ref, "left").groupBy(*leaf).agg(F.count("_hit").alias("n_loaded"), F.count_if(F.col("_hit").isNull()).alias("n_missing"))
+
+
+def strict_join(refs: DataFrame, lookup: DataFrame, key: str, on_error: str = "raise") -> DataFrame:
+    """References joined with a lookup whose keys must be unique and complete, in one plan.
+
+    "raise" fails on a reference without a row and on a key the lookup holds twice; "report" gives the matched rows with n_repeated (rows of
+    the lookup beyond the first of their key) and n_missing (references without a row). Null keys match nothing and count as missing.
+    """
+    if on_error not in ("raise", "report"):
+        raise ValueError(on_error)
+    if on_error == "report":
+        repeated = lookup.agg(F.count(key) - F.countDistinct(key)).scalar()
+        missing = refs.join(lookup.select(key), key, "left_anti").agg(F.count("*")).scalar()
+        return refs.join(lookup, key).withColumns({"n_repeated": repeated, "n_missing": missing})
+    columns = [c for c in lookup.columns if c != key]
+    once = lookup.groupBy(key).agg(F.count("*").alias("_n"), *[F.first(c).alias(c) for c in columns])
+    joined = refs.join(once, key, "left")
+    problem = F.when(F.col("_n").isNull(), F.concat(F.lit("no row for "), F.coalesce(F.col(key).cast("string"), F.lit("null")))).when(F.col("_n") > 1, F.concat(F.lit("more than one row for "), F.col(key).cast("string")))
+    return joined.where(F.when(problem.isNull(), F.lit(True)).otherwise(F.raise_error(problem).cast("boolean"))).drop("_n")

@@ -30,3 +30,18 @@ def cycle_plan(df: DataFrame, n: Column, pool: Column, offset: Column) -> DataFr
     at = df.withColumn("_n", n.cast("int")).withColumn("_p", pool.cast("int")).withColumn("_o", offset.cast("int")).where("_n > 0 and _p > 0")
     at = at.withColumn("output", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_n").cast("long"))))
     return at.withColumn("source", (F.pmod(F.col("_o") + F.col("output") - 1, F.col("_p")) + 1).cast("long")).drop("_n", "_p", "_o")
+
+
+def buckets(df: DataFrame, family: str, text: str, style: str, ref: str, most: int) -> DataFrame:
+    """One row for each family: its first text and that text's style ("" for null), rows, distinct texts, first reference, and the references at which its first
+    `most` texts are first seen, in order. Rows are counted by text before families meet, so a family of any size is one row for each of its texts."""
+    t = df.groupBy(family, text).agg(F.min(ref).alias("first_no"), F.count("*").alias("n"), F.min_by(F.struct(F.col(style).alias("s")), ref).alias("s"))
+    at = F.row_number().over(W.partitionBy(family).orderBy("first_no"))
+    first = t.withColumn("_at", at).where(F.col("_at") <= most).groupBy(family).agg(
+        F.array_join(F.transform(F.array_sort(F.collect_list("first_no")), lambda x: x.cast("string")), ",").alias("first_refs")
+    )
+    g = t.groupBy(family).agg(
+        F.coalesce(F.min_by(F.struct(F.col(text).alias("t")), "first_no")["t"], F.lit("")).alias("first_text"), F.coalesce(F.min_by("s", "first_no")["s"], F.lit("")).alias("first_style"),
+        F.sum("n").alias("n"), F.count(text).alias("n_texts"), F.min("first_no").alias("first_no"),
+    )
+    return g.join(first, family)

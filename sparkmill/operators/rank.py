@@ -63,8 +63,9 @@ def percentiles(df: DataFrame, group: list[str], values: dict[str, Column], shar
     sketch = [F.percentile_approx(f"_v_{n}", ends(s), accuracy).alias(k) for n, s, k in names]
     whole = [f(F.col(f"_v_{n}")).alias(f"_{w}_{n}") for n in values for w, f in (("n", F.count), ("lo", F.min), ("hi", F.max))]
     b = cut(d.groupBy(*group).agg(*sketch, *whole), "brackets")
-    low = lambda n, s, k: F.when(F.lit(s <= step), F.col(f"_lo_{n}")).otherwise(F.col(k)[0])
-    high = lambda n, s, k: F.when(F.lit(s >= 1 - step), F.col(f"_hi_{n}")).otherwise(F.col(k)[1])
+    few = lambda n: F.col(f"_n_{n}") * step <= 4  # noqa: E731  (the sketch's ranks may be off by what one or two values are: such a group is kept whole)
+    low = lambda n, s, k: F.when(F.lit(s <= step) | few(n), F.col(f"_lo_{n}")).otherwise(F.col(k)[0])
+    high = lambda n, s, k: F.when(F.lit(s >= 1 - step) | few(n), F.col(f"_hi_{n}")).otherwise(F.col(k)[1])
     both = d.alias("d").join(mark_small(b).alias("b"), [F.col(f"d.{c}").eqNullSafe(F.col(f"b.{c}")) for c in group])
     aggs = []
     for n, s, k in names:

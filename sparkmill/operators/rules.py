@@ -6,6 +6,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from .nested import json_at
+
 
 @dataclass(frozen=True)
 class Rule:
@@ -85,6 +87,39 @@ def followed_by(code: str, kinds: Column, first: list[str], then: str) -> Rule:
     return Rule(code, F.size(F.filter(hit, lambda x: x)), counts=True)
 
 
+def blank(code: str, *texts: Column) -> list[Rule]:
+    """One rule for each text that must say something: an error where it is null or blank."""
+    return [Rule(f"{code}_{i}", F.trim(F.coalesce(t, F.lit(""))) == "") for i, t in enumerate(texts)]
+
+
+def tagged(code: str, items: Column, tag: str, shapes: dict[str, tuple[list[str], list[str]]]) -> Rule:
+    """Items of a tagged union: `shapes` gives for each tag the fields an item must have and those it may not have. One error for each item
+    that is null, has a tag without a shape, lacks a field or has one too many."""
+    bad = lambda x: F.coalesce(
+        ~x[tag].isin(list(shapes))
+        | _any([(x[tag] == t) & (_any([x[f].isNull() for f in must]) | _any([x[f].isNotNull() for f in never])) for t, (must, never) in shapes.items()]),
+        F.lit(True),
+    )
+    return Rule(code, F.coalesce(F.size(F.filter(items, bad)), F.lit(0)), counts=True)
+
+
+def _any(conditions: list[Column]) -> Column:
+    out = F.lit(False)
+    for c in conditions:
+        out = out | c
+    return out
+
+
+def absent(code: str, record: Column, field: str) -> Rule:
+    """The key is not there at all in a JSON text: null is there, missing is not."""
+    return Rule(code, ~F.array_contains(F.json_object_keys(record), field))
+
+
+def not_typed(code: str, record: Column, path: str, kind: str) -> Rule:
+    """What stands at a path of a JSON text is not of the kind asked for, be it missing, null or of another."""
+    return Rule(code, json_at(record, path, kind).isNull())
+
+
 def pointer_pair(prefix: str, near: Column, far: Column, candidates: Column) -> list[Rule]:
     """A nearest and a farthest pointer into `candidates`: null with none, equal with one, different with more, always inside."""
     n = F.size(candidates)

@@ -32,3 +32,8 @@ def not_yet_seen(df: DataFrame, ledger: DataFrame) -> DataFrame:
 def next_number(names: Column, pattern: str) -> Column:
     """Aggregate: the largest number in names that match `pattern` (its first group), plus one; 1 where none does."""
     return (F.coalesce(F.max(F.nullif(F.regexp_extract(names, pattern, 1), F.lit("")).try_cast("long")), F.lit(0)) + 1).alias("next_number")
+
+
+def from_index(df: DataFrame, index: str, start: int) -> DataFrame:
+    """Rows from a 0-based index on, by which a run is taken up again; rows without an index drop out."""
+    return df.where(F.col(index) >= start)

@@ -19,3 +19,30 @@ def folded(items: Column, kind: str, forbidden_after: dict[str, list[str]], most
         return F.when(x.isNull() | F.coalesce(bad, F.lit(False)) | (F.size(acc) >= most), acc).otherwise(F.concat(acc, F.array(x)))
 
     return F.aggregate(F.coalesce(items, F.array().cast(kept_type)), F.array().cast(kept_type), step)
+
+
+def coerced(items: Column, kind: str, allowed: list[str], defaults: dict[str, float], number: str, low: float, high: float, mode: str, modes: list[str], plain_mode: str) -> Column:
+    """Items with `number` clamped to [low, high] (null takes its kind's default, if there is one) and a `mode` that is not one of `modes` as `plain_mode` (null stays).
+
+    Items of kinds that are not allowed, and null ones, drop out. A null list gives null.
+    """
+    given = F.create_map(*[F.lit(v) for kv in defaults.items() for v in kv]) if defaults else None
+
+    def clean(x: Column) -> Column:
+        n = F.coalesce(x[number], F.try_element_at(given, x[kind])) if defaults else x[number]
+        m = F.when(x[mode].isNull() | x[mode].isin(modes), x[mode]).otherwise(plain_mode)
+        return x.withField(number, F.when(n.isNotNull(), F.greatest(F.lit(low), F.least(F.lit(high), n)))).withField(mode, m)
+
+    return F.transform(F.filter(items, lambda x: F.coalesce(x[kind].isin(allowed), F.lit(False))), clean)
+
+
+def first_per_key(items: Column, key: str) -> Column:
+    """The first item of each key, in order; items without a key drop out."""
+    keys = F.transform(items, lambda x: x[key])
+    return F.filter(items, lambda x, i: x[key].isNotNull() & (F.array_position(keys, x[key]) == i + 1))
+
+
+def spoken(dialog: Column, key: str, known: Column, default: Column) -> Column:
+    """Lines of a dialog whose speaker is known; the default line where none is left."""
+    kept = F.filter(dialog, lambda d: F.array_contains(known, d[key]))
+    return F.when(F.coalesce(F.size(kept), F.lit(0)) > 0, kept).otherwise(F.array(default))

@@ -2,68 +2,59 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
+from pyspark.sql import Window as W, functions as F
 
 from ..functions import text as X
-from ..operators import chat, coverage, dedup, dewey, drift, planner, pool, rules, runs, sanitize, score
-from ..session import table
+from ..operators import chat, coverage, dedup, dewey, drift, planner, pool, rank, rules, runs, sanitize, score
+from ..session import new_path, table
 from ..streaming import ingest
+from .registry import AREA, BASE, COMMAND, ORACLE_SQL, QUERIES, query
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE_SQL: dict[str, str] = {}
-COMMAND, BASE, AREA = "command_spec.command_text", "command_spec.base_command_text", "input.input.area_situation"
-
+# Coverage ----------------------------------------------------------------------------------------------------------------
 
-def query(sql: str | None = None):
-    def add(f):
-        QUERIES[f.__name__] = f
-        if sql:
-            ORACLE_SQL[f.__name__] = sql
-        return f
 
-    return add
+LEVELS = ["intent_family", "actor_selection", "target_selection", "action_pattern", "scenario_family"]
+_GROUPED = " - ".join(f"grouping({c})" for c in LEVELS)
 
 
-# Coverage ----------------------------------------------------------------------------------------------------------------
+@query(f"""
+WITH leaf AS (SELECT {", ".join(f"coalesce(metadata.{c}, 'unknown') AS {c}" for c in LEVELS)}, count(*) AS n FROM accepted_samples GROUP BY ALL),
+up AS (SELECT {", ".join(LEVELS)}, CAST(sum(n) AS BIGINT) AS n, 5 - {_GROUPED} AS depth FROM leaf GROUP BY ROLLUP ({", ".join(LEVELS)})),
+s AS (SELECT *, round(CASE WHEN depth = 0 THEN 1.0 ELSE n / sum(n) OVER (PARTITION BY depth, {", ".join(f"CASE WHEN depth > {i + 1} THEN {c} END" for i, c in enumerate(LEVELS[:-1]))}) END, 6) AS share FROM up)
+SELECT s.* EXCLUDE (depth), CAST(depth AS BIGINT) AS depth, d.target_pct FROM s LEFT JOIN taxonomy_dim d
+  ON d.axis = ({LEVELS!r})[CAST(depth AS INTEGER)] AND d.value = coalesce(s.scenario_family, s.action_pattern, s.target_selection, s.actor_selection, s.intent_family) AND d.parent IS NOT DISTINCT FROM CASE WHEN depth = 5 THEN s.intent_family END""")
+def coverage_rollup(spark, sf):
+    leaves = coverage.counted(table(spark, sf, "accepted_samples").select(*[F.col(f"metadata.{c}").alias(c) for c in LEVELS]), LEVELS)
+    shares = coverage.rollup_shares(leaves, LEVELS).withColumn("share", F.round("share", 6))
+    return coverage.with_targets(shares, LEVELS, table(spark, sf, "taxonomy_dim"), {"scenario_family": "intent_family"})
 
 
-@query("""
-WITH leaf AS (SELECT coalesce(metadata.intent_family, 'unknown') AS intent_family, coalesce(metadata.action_pattern, 'unknown') AS action_pattern,
-  coalesce(metadata.scenario_family, 'unknown') AS scenario_family, count(*) AS n FROM accepted_samples GROUP BY ALL),
-up AS (SELECT intent_family, action_pattern, scenario_family, CAST(sum(n) AS BIGINT) AS n,
-  3 - grouping(intent_family) - grouping(action_pattern) - grouping(scenario_family) AS depth
-  FROM leaf GROUP BY ROLLUP (intent_family, action_pattern, scenario_family))
-SELECT intent_family, action_pattern, scenario_family, CAST(depth AS BIGINT) AS depth, n,
-  round(CASE WHEN depth = 0 THEN 1.0 ELSE n / sum(n) OVER (PARTITION BY depth, CASE WHEN depth > 1 THEN intent_family END, CASE WHEN depth > 2 THEN action_pattern END) END, 6) AS share
-FROM up""")
-def coverage_rollup(spark, sf):
-    levels = ["intent_family", "action_pattern", "scenario_family"]
-    leaves = coverage.counted(table(spark, sf, "accepted_samples").select(*[F.col(f"metadata.{c}").alias(c) for c in levels]), levels)
-    return coverage.rollup_shares(leaves, levels).withColumn("share", F.round("share", 6))
+_AXES = {
+    **{c: f"metadata.{c}" for c in ("intent_family", "command_style", "actor_selection", "target_selection", "action_pattern", "scenario_family")},
+    **{c: f"skill_case.{c}" for c in ("skill_family", "skill_target_kind", "conflict_type")},
+}
+_EACH_AXIS = f"""(SELECT metadata.intent_family AS intent, unnest([{", ".join("{" + f"'axis': '{a}', 'value': {c}" + "}" for a, c in _AXES.items())}]) AS x FROM accepted_samples)"""
 
 
-@query("""
+@query(f"""
 SELECT d.axis, coalesce(d.parent, '') AS parent, d.value, d.target_pct, coalesce(c.n, 0) AS n FROM taxonomy_dim d
-LEFT JOIN (SELECT lower(trim(metadata.intent_family)) AS parent, lower(trim(metadata.scenario_family)) AS value, count(*) AS n FROM accepted_samples GROUP BY ALL) c
-  ON lower(d.parent) = c.parent AND lower(d.value) = c.value
-WHERE d.axis = 'scenario_family'""")
+LEFT JOIN (SELECT x.axis AS axis, CASE WHEN x.axis = 'scenario_family' THEN lower(trim(intent)) END AS parent, lower(trim(x.value)) AS value, count(*) AS n FROM {_EACH_AXIS} GROUP BY ALL) c
+  ON d.axis = c.axis AND lower(d.parent) IS NOT DISTINCT FROM c.parent AND lower(d.value) = c.value""")
 def coverage_spine(spark, sf):
     plain = lambda c: F.lower(F.trim(F.col(c)))
-    n = coverage.counted(table(spark, sf, "accepted_samples").select(plain("metadata.intent_family").alias("_p"), plain("metadata.scenario_family").alias("_v")), ["_p", "_v"])
-    dim = table(spark, sf, "taxonomy_dim").where("axis = 'scenario_family'").withColumns({"_p": F.lower("parent"), "_v": F.lower("value")})
-    return coverage.spine(dim, n, ["_p", "_v"]).select("axis", F.coalesce("parent", F.lit("")).alias("parent"), "value", "target_pct", "n")
+    nested = lambda a: plain("metadata.intent_family") if a == "scenario_family" else F.lit(None).cast("string")
+    each = F.array(*[F.struct(F.lit(a).alias("axis"), F.coalesce(nested(a), F.lit("")).alias("_p"), plain(c).alias("_v")) for a, c in _AXES.items()])
+    cells = table(spark, sf, "accepted_samples").select(F.explode(each).alias("x")).select("x.*").where("axis <> 'scenario_family' or _p <> ''")
+    dim = table(spark, sf, "taxonomy_dim").withColumns({"_p": F.coalesce(F.lower("parent"), F.lit("")), "_v": F.lower("value")})
+    return coverage.spine(dim, coverage.counted(cells, ["axis", "_p", "_v"]), ["axis", "_p", "_v"]).select("axis", F.coalesce("parent", F.lit("")).alias("parent"), "value", "target_pct", "n")
 
 
-@query("""
-WITH x AS (SELECT unnest([{'axis': 'command_style', 'value': metadata.command_style}, {'axis': 'actor_selection', 'value': metadata.actor_selection},
-  {'axis': 'difficulty', 'value': metadata.difficulty}]) AS x FROM accepted_samples),
-n AS (SELECT x.axis AS axis, x.value AS value, count(*) AS n FROM x WHERE x.value IS NOT NULL GROUP BY ALL)
-SELECT axis, value, n, round(n / sum(n) OVER (PARTITION BY axis), 6) AS share FROM n""")
+@query(f"""
+WITH n AS (SELECT x.axis AS axis, x.value AS value, count(*) AS n FROM {_EACH_AXIS} WHERE x.value IS NOT NULL GROUP BY ALL)
+SELECT n.axis, n.value, n, round(n / sum(n) OVER (PARTITION BY n.axis), 6) AS share, d.target_pct FROM n LEFT JOIN taxonomy_dim d ON d.axis = n.axis AND d.value = n.value AND d.parent IS NULL""")
 def axis_distribution(spark, sf):
-    axes = {c: F.col(f"metadata.{c}") for c in ("command_style", "actor_selection", "difficulty")}
-    return coverage.axis_counts(table(spark, sf, "accepted_samples"), axes).withColumn("share", F.round("share", 6))
+    n = coverage.axis_counts(table(spark, sf, "accepted_samples"), {a: F.col(c) for a, c in _AXES.items()}).withColumn("share", F.round("share", 6))
+    return n.join(table(spark, sf, "taxonomy_dim").where("parent is null").select("axis", "value", "target_pct"), ["axis", "value"], "left")
 
 
 @query("""
@@ -144,11 +135,10 @@ SELECT o_orderstatus, count(*) AS n, count(DISTINCT o_orderkey) AS n_keys, (SELE
   (SELECT count(*) FROM lineitem WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders)) AS n_missing
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey GROUP BY 1""")
 def strict_ref_join(spark, sf):
-    l, o = table(spark, sf, "lineitem").select("l_orderkey"), table(spark, sf, "orders").select("o_orderkey", "o_orderstatus")
-    got = l.join(o, l.l_orderkey == o.o_orderkey).groupBy("o_orderstatus").agg(F.count("*").alias("n"), F.countDistinct("o_orderkey").alias("n_keys"))
-    repeated = o.agg(F.count("o_orderkey") - F.countDistinct("o_orderkey")).first()[0]
-    missing = l.join(o, l.l_orderkey == o.o_orderkey, "left_anti").count()
-    return got.withColumns({"n_repeated_keys": F.lit(repeated).cast("long"), "n_missing": F.lit(missing).cast("long")})
+    o = table(spark, sf, "orders").select(F.col("o_orderkey").alias("key"), "o_orderstatus")
+    refs = table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("key"))
+    got = dedup.strict_join(refs, o, "key", on_error="report")
+    return got.groupBy("o_orderstatus").agg(F.count("*").alias("n"), F.countDistinct("key").alias("n_keys"), F.first("n_repeated").alias("n_repeated_keys"), F.first("n_missing").alias("n_missing"))
 
 
 @query("SELECT count(*) AS n, count(DISTINCT request_key) AS n_keys FROM (SELECT DISTINCT * FROM batch_trace)")
@@ -184,12 +174,12 @@ def reserved_families(spark, sf):
     return pool.reserved_elsewhere(a, "split", "family")
 
 
-_REQUESTS = "(SELECT request_key, split, path, requested_count, row_number() OVER (PARTITION BY split, path ORDER BY request_key) - 1 AS existing FROM (SELECT DISTINCT request_key, split, path, requested_count FROM batch_trace WHERE requested_count IS NOT NULL))"
+_REQUESTS = "(SELECT request_key, split, path, requested_count, row_number() OVER (PARTITION BY split, path ORDER BY request_key) - 1 AS existing FROM (SELECT DISTINCT request_key, split, path, coalesce(requested_count, 0) AS requested_count FROM batch_trace))"
 
 
 def _requests(spark, sf):
-    t = table(spark, sf, "batch_trace").where("requested_count is not null").select("request_key", "split", "path", "requested_count").distinct()
-    return t.withColumn("existing", (F.row_number().over(W.partitionBy("split", "path").orderBy("request_key")) - 1).cast("long"))
+    t = table(spark, sf, "batch_trace").select("request_key", "split", "path", F.coalesce("requested_count", F.lit(0)).alias("requested_count")).distinct()
+    return rank.running(t, F.lit(1).cast("long"), ["split", "path"], ["request_key"], "existing")
 
 
 @query(f"""
@@ -213,7 +203,7 @@ def chunk_plan(spark, sf):
 
 @query(f"SELECT request_key, CAST(coalesce(sum(requested_count) OVER (PARTITION BY split, path ORDER BY request_key ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS cursor_at FROM {_REQUESTS}")
 def cycle_cursor(spark, sf):
-    return _requests(spark, sf).select("request_key", planner.running_before(F.col("requested_count"), ["split", "path"], ["request_key"]).cast("long").alias("cursor_at"))
+    return rank.running(_requests(spark, sf), F.col("requested_count"), ["split", "path"], ["request_key"], "cursor_at").select("request_key", F.col("cursor_at").cast("long").alias("cursor_at"))
 
 
 @query("""
@@ -231,10 +221,16 @@ def interval_assign(spark, sf):
     return planner.assign_intervals(items, outputs, ["l_orderkey"], "q", ["l_linenumber", "l_partkey"], "place").select("l_orderkey", "place", "l_linenumber")
 
 
-@query()
+@query("""
+WITH RECURSIVE t AS (SELECT inline_response_file, list({'i': request_key, 'k': path, 's': n} ORDER BY response_index_0_based, request_key) AS l
+  FROM (SELECT DISTINCT inline_response_file, request_key, path, coalesce(requested_count, 0) AS n, response_index_0_based FROM batch_trace) GROUP BY 1),
+r AS (SELECT inline_response_file, l, CAST(NULL AS VARCHAR) AS item, CAST(NULL AS VARCHAR) AS partner FROM t
+  UNION ALL SELECT inline_response_file, list_filter(l[2:], lambda x: p IS NULL OR x.i <> p), l[1].i, p
+  FROM (SELECT inline_response_file, l, (list_filter(l[2:], lambda x: x.k IS DISTINCT FROM l[1].k AND x.s + l[1].s <= 10)[1]).i AS p FROM r WHERE len(l) > 0))
+SELECT inline_response_file, item, partner FROM r WHERE item IS NOT NULL""")
 def greedy_pairs(spark, sf):
-    t = table(spark, sf, "batch_trace").where("requested_count is not null").select("inline_response_file", "request_key", "path", "requested_count", "response_index_0_based").dropDuplicates(["request_key"])
-    return planner.greedy_pairs(t, "inline_response_file", "request_key", "path", "requested_count", "response_index_0_based", 10)
+    t = table(spark, sf, "batch_trace").select("inline_response_file", "request_key", "path", F.coalesce("requested_count", F.lit(0)).alias("n"), "response_index_0_based").distinct()
+    return planner.greedy_pairs(t, "inline_response_file", "request_key", "path", "n", "response_index_0_based", 10)
 
 
 # Chat rows -----------------------------------------------------------------------------------------------------------------
@@ -408,7 +404,10 @@ def row_lookup(spark, sf):
     return a.select("sample_no", F.col("a.unitId").alias("unit_id"), rules.lookup(F.col("u"), "unitId", F.col("a.unitId"))["isAlive"].alias("actor_alive"))
 
 
-@query()
+@query("""
+WITH a AS (SELECT sample_no, unnest(output.action) AS a, generate_subscripts(output.action, 1) - 1 AS pos FROM accepted_samples)
+SELECT sample_no, pos, array_to_string(list_reduce(list_transform(list_filter(coalesce(a.sequence, []), lambda x: x IS NOT NULL), lambda x: [x.type]),
+  lambda k, x: CASE WHEN (x[1] = 'wait' AND coalesce(k[-1], '') IN ('attack', 'skill')) OR len(k) >= 3 THEN k ELSE list_concat(k, x) END, CAST([] AS VARCHAR[])), ',') AS kinds FROM a""")
 def sanitize_fold(spark, sf):
     item = "array<struct<type:string,target:string>>"
     a = table(spark, sf, "accepted_samples").select("sample_no", F.posexplode("output.action").alias("pos", "a"))
@@ -431,30 +430,33 @@ def score_rows(spark, sf):
     return j.select("incoming_no", "accepted_no", same("command_text").alias("same_command"), same("base_command_text").alias("same_base"), same("slots").alias("same_slots"))
 
 
-_SUMMARY = "count(*) AS n, round(avg(CASE WHEN event_type = 'purchase' THEN 1 ELSE 0 END), 6) AS success_rate, round(avg(value), 6) AS value_mean, round(quantile_cont(value, 0.5), 6) AS value_p50, round(quantile_cont(value, 0.95), 6) AS value_p95"
+_SUMMARY = "count(*) AS n, round(avg(CASE WHEN event_type = 'purchase' THEN 1 ELSE 0 END), 6) AS success_rate, round(avg(v), 6) AS value_mean, round(quantile_cont(v, 0.5), 6) AS value_p50, round(quantile_cont(v, 0.95), 6) AS value_p95"
 
 
-def _summary():
-    return [c if i == 0 else F.round(c, 6).alias(n) for i, (c, n) in enumerate(zip(score.summary({"success": F.col("event_type") == "purchase"}, {"value": F.col("value")}), ["n", "success_rate", "value_mean", "value_p50", "value_p95"]))]
+def _rounded(df):
+    return df.withColumns({c: F.round(c, 6) for c in df.columns if c.startswith(("success_", "value_"))})
 
 
-@query(f"SELECT {_SUMMARY} FROM events")
+@query(f"SELECT {_SUMMARY} FROM (SELECT *, value AS v FROM events)")
 def score_summary(spark, sf):
-    return table(spark, sf, "events").agg(*_summary())
+    return _rounded(score.summary(table(spark, sf, "events"), [], {"success": F.col("event_type") == "purchase"}, {"value": F.col("value")}))
 
 
-_BREAKDOWN = f"""SELECT 'event_type' AS axis, coalesce(event_type, 'unknown') AS value, {_SUMMARY.replace('(value', '(v').replace('avg(value)', 'avg(v)')} FROM (SELECT *, value AS v FROM events) GROUP BY 2
-UNION ALL SELECT 'hour', CAST(hour(ts) AS VARCHAR), {_SUMMARY.replace('(value', '(v').replace('avg(value)', 'avg(v)')} FROM (SELECT *, value AS v FROM events) GROUP BY 2"""
+_BREAKDOWN = f"""SELECT 'event_type' AS axis, coalesce(event_type, 'unknown') AS value, {_SUMMARY} FROM (SELECT *, value AS v FROM events) GROUP BY 2
+UNION ALL SELECT 'hour', CAST(hour(ts) AS VARCHAR), {_SUMMARY} FROM (SELECT *, value AS v FROM events) GROUP BY 2"""
 
 
 @query(_BREAKDOWN)
 def score_breakdown(spark, sf):
-    return score.breakdown(table(spark, sf, "events"), {"event_type": F.col("event_type"), "hour": F.hour("ts")}, _summary())
+    events = table(spark, sf, "events").withColumnRenamed("value", "v")
+    return _rounded(score.breakdown(events, {"event_type": F.col("event_type"), "hour": F.hour("ts")}, {"success": F.col("event_type") == "purchase"}, {"value": F.col("v")}))
 
 
 @query(f"SELECT axis, CAST(sum(n) AS BIGINT) AS n, count(*) FILTER (value LIKE 'unknown%') AS n_unknown, sum(n) = (SELECT count(*) FROM events) AS is_whole FROM ({_BREAKDOWN}) GROUP BY 1")
 def breakdown_check(spark, sf):
-    return score.breakdown_check(score_breakdown(spark, sf), table(spark, sf, "events").count())
+    events = table(spark, sf, "events")
+    parts = score.by_axes(events.withColumnRenamed("value", "v"), {"event_type": F.col("event_type"), "hour": F.hour("ts")}).groupBy("axis", "value").agg(F.count("*").alias("n"))
+    return score.breakdown_check(parts, events.agg(F.count("*")).scalar())
 
 
 @query("""
@@ -469,11 +471,10 @@ def delta_vs_baseline(spark, sf):
 SELECT coalesce(source, '') AS source, round(avg(length(text)), 6) AS mean, round(quantile_cont(length(text), 0.5), 6) AS p50, round(quantile_cont(length(text), 0.95), 6) AS p95,
   max(length(text)) AS longest, count(*) FILTER (length(text) > 1000) AS n_over FROM documents GROUP BY 1""")
 def length_stats(spark, sf):
-    n = F.length("text")
-    return table(spark, sf, "documents").groupBy(F.coalesce("source", F.lit("")).alias("source")).agg(
-        F.round(F.avg(n), 6).alias("mean"), F.round(F.percentile(n, F.lit(0.5)), 6).alias("p50"), F.round(F.percentile(n, F.lit(0.95)), 6).alias("p95"),
-        F.max(n).cast("long").alias("longest"), F.count_if(n > 1000).alias("n_over"),
-    )
+    d = table(spark, sf, "documents").select(F.coalesce("source", F.lit("")).alias("source"), F.length("text").alias("n"))
+    plain = d.groupBy("source").agg(F.round(F.avg("n"), 6).alias("mean"), F.max("n").cast("long").alias("longest"), F.count_if(F.col("n") > 1000).alias("n_over"))
+    p = rank.percentiles(d, ["source"], {"n": F.col("n")}, (0.5, 0.95))
+    return plain.join(p, "source", "left").select("source", "mean", F.round("n_p50", 6).alias("p50"), F.round("n_p95", 6).alias("p95"), "longest", "n_over")
 
 
 @query("SELECT o_custkey, arg_min(o_orderkey, (o_totalprice, o_orderkey)) AS cheapest FROM orders GROUP BY 1")
@@ -493,9 +494,9 @@ def run_summary(spark, sf):
     )
 
 
-@query("SELECT coalesce(split, '') AS split, path, CAST(sum(sample_count) AS BIGINT) AS total, min(request_key) AS first_seen FROM batch_trace GROUP BY 1, 2")
+@query("SELECT coalesce(split, '') AS split, path, CAST(sum(sample_count) AS BIGINT) AS total, min(request_key) AS first_seen FROM (SELECT DISTINCT * FROM batch_trace) GROUP BY 1, 2")
 def first_seen_order(spark, sf):
-    t = table(spark, sf, "batch_trace").withColumn("split", F.coalesce("split", F.lit("")))
+    t = table(spark, sf, "batch_trace").distinct().withColumn("split", F.coalesce("split", F.lit("")))
     return runs.first_seen_sums(t, ["split", "path"], F.col("sample_count"), "request_key")
 
 
@@ -530,7 +531,15 @@ def top_groups(spark, sf):
 # Texts -----------------------------------------------------------------------------------------------------------------------
 
 
-@query()
+_FAMILY = "regexp_replace(coalesce({0}), '^[\\s\\p{{Z}}]+|[\\s\\p{{Z}}]+$', '', 'g')"
+for _ in range(2):  # what ends one unit number may begin the next
+    _FAMILY = f"regexp_replace({_FAMILY}, '(^|[^A-Za-z0-9_])([AE])_\\p{{{{Nd}}}}{{{{2}}}}([^A-Za-z0-9_]|$)', '\\1\\2_ID\\3', 'g')"
+for _particles, _name in (("은|는|이|가", "JOSA_ST"), ("을|를", "JOSA_OBJ")):
+    _FAMILY = f"regexp_replace({_FAMILY}, '([AE]_ID)[\\s\\p{{{{Z}}}}]*({_particles})([\\s\\p{{{{Z}}}},.;!?]|$)', '\\1{{{{{_name}}}}}\\3', 'g')"
+_FAMILY = f"trim(regexp_replace(regexp_replace(regexp_replace({_FAMILY}, '[\\s\\p{{{{Z}}}}]+', ' ', 'g'), '[\\s\\p{{{{Z}}}}]*,[\\s\\p{{{{Z}}}}]*', ', ', 'g'), '\\s+([.!?])', '\\1', 'g'))"
+
+
+@query(f"SELECT sample_no, {_FAMILY.format('command_spec.command_text')} AS family FROM accepted_samples")
 def family_key(spark, sf):
     return table(spark, sf, "accepted_samples").select("sample_no", X.family_key(F.col(COMMAND)).alias("family"))
 
@@ -571,21 +580,24 @@ def scalar_texts(spark, sf):
     return d.select("value", X.truncated(F.col("description"), 12).alias("short"), X.clamp(F.col("target_pct"), 5.0, 20.0).alias("clamped"), X.ratio_text(F.col("ord"), F.lit(13), F.col("target_pct")).alias("ratio"))
 
 
-@query()
+@query("SELECT event_id, props AS found FROM events")
 def first_json(spark, sf):
-    r = table(spark, sf, "raw_generations").select("record_no", X.first_json(F.concat(F.lit("answer: "), X.without_fence(F.col("raw")), F.lit(" end"))).alias("found"))
-    return r.select("record_no", F.length("found").alias("n_chars"), F.sha2("found", 256).alias("digest"))
+    noisy = F.concat(F.lit("```json\nanswer = "), F.col("props"), F.lit(" } end [1]\n```"))
+    return table(spark, sf, "events").select("event_id", X.first_json(X.without_fence(noisy)).alias("found"))
 
 
-@query()
+@query("""SELECT '[{"b":1,"props":{"k":' || json_extract_string(props, '$.k') || '}}]' AS canonical, count(*) AS n FROM events GROUP BY 1""")
 def canonical_without_id(spark, sf):
-    r = table(spark, sf, "raw_generations").select(X.canonical_json(F.col("raw"), "id").alias("canonical")).where("canonical is not null")
-    return r.groupBy(F.sha2("canonical", 256).alias("digest")).agg(F.count("*").alias("n"))
+    text = F.concat(F.lit('[{"props": '), F.col("props"), F.lit(', "id": '), F.col("event_id").cast("string"), F.lit(', "b": 1}]'))
+    e = table(spark, sf, "events").select(X.canonical_json(text, "id").alias("canonical"))
+    return e.groupBy("canonical").agg(F.count("*").alias("n"))
 
 
-@query()
+@query("""
+SELECT j.fullkey AS path, count(*) AS n FROM (SELECT CASE WHEN json_valid(raw) THEN raw ELSE 'null' END AS raw FROM raw_generations) r, json_tree(r.raw) j
+WHERE j.key IN ('target', 'mentioned_units') AND j.fullkey NOT LIKE '%]' GROUP BY 1""")
 def forbidden_key_paths(spark, sf):
-    r = table(spark, sf, "raw_generations").select("record_no", F.explode(X.key_paths(F.col("raw"), ["commandAnalysis", "validator_result"])).alias("path"))
+    r = table(spark, sf, "raw_generations").select(F.explode(X.key_paths(F.col("raw"), ["target", "mentioned_units"])).alias("path"))
     return r.groupBy("path").agg(F.count("*").alias("n"))
 
 
@@ -620,22 +632,25 @@ def single_value(spark, sf):
 
 
 @query("""
-SELECT coalesce(command_spec.base_command_text, '') AS family, arg_min(command_spec.command_text, sample_no) AS first_text, arg_min(metadata.command_style, sample_no) AS first_style,
-  count(*) AS n, count(DISTINCT command_spec.command_text) AS n_texts, min(sample_no) AS first_no FROM accepted_samples WHERE metadata.command_style IS NOT NULL GROUP BY 1""")
+WITH f AS (SELECT coalesce(command_spec.base_command_text, '') AS family, command_spec.command_text AS text, min(sample_no) AS first_no, count(*) AS n, coalesce(arg_min_null(metadata.command_style, sample_no), '') AS style FROM accepted_samples GROUP BY 1, 2)
+SELECT family, coalesce(arg_min_null(text, first_no), '') AS first_text, arg_min(style, first_no) AS first_style, CAST(sum(n) AS BIGINT) AS n, count(text) AS n_texts, min(first_no) AS first_no,
+  array_to_string(list_transform(list(first_no ORDER BY first_no)[1:3], lambda x: CAST(x AS VARCHAR)), ',') AS first_refs FROM f GROUP BY 1""")
 def family_buckets(spark, sf):
-    a = table(spark, sf, "accepted_samples").where("metadata.command_style is not null")
-    return a.groupBy(F.coalesce(F.col(BASE), F.lit("")).alias("family")).agg(
-        F.min_by(F.col(COMMAND), "sample_no").alias("first_text"), F.min_by(F.col("metadata.command_style"), "sample_no").alias("first_style"),
-        F.count("*").alias("n"), F.countDistinct(COMMAND).alias("n_texts"), F.min("sample_no").alias("first_no"),
-    )
+    return pool.buckets(table(spark, sf, "accepted_samples").select(F.coalesce(F.col(BASE), F.lit("")).alias("family"), F.col(COMMAND).alias("text"), F.col("metadata.command_style").alias("style"), "sample_no"), "family", "text", "style", "sample_no", 3)
 
 
 @query("""
-WITH u AS (SELECT sample_no, unnest(input.input.area_situation.allies) AS u, generate_subscripts(input.input.area_situation.allies, 1) AS place FROM accepted_samples)
-SELECT sample_no, place, u.unitId AS unit_id, u.hpRatio AS hp, round(max(u.hpRatio) OVER (PARTITION BY sample_no) - u.hpRatio, 6) AS below_best FROM u""")
+WITH u AS (SELECT sample_no, 'ally' AS side, unnest(list_transform(input.input.area_situation.allies, lambda x: {'i': x.unitId, 'h': x.hpRatio})) AS u, generate_subscripts(input.input.area_situation.allies, 1) AS place FROM accepted_samples
+  UNION ALL SELECT sample_no, 'enemy', unnest(list_transform(input.input.area_situation.enemies, lambda x: {'i': x.unitId, 'h': x.hpRatio})), generate_subscripts(input.input.area_situation.enemies, 1) FROM accepted_samples)
+SELECT sample_no, side, place, u.i AS unit_id, u.h AS hp, round(max(u.h) OVER (PARTITION BY sample_no, side) - u.h, 6) AS below_best FROM u""")
 def unit_table(spark, sf):
-    a = table(spark, sf, "accepted_samples").select("sample_no", F.posexplode(F.arrays_zip(_units("allies")["unitId"].alias("i"), _units("allies")["hpRatio"].alias("h"))).alias("place", "u"))
-    return a.select("sample_no", (F.col("place") + 1).cast("long").alias("place"), F.col("u.i").alias("unit_id"), F.col("u.h").alias("hp"), F.round(F.max("u.h").over(W.partitionBy("sample_no")) - F.col("u.h"), 6).alias("below_best"))
+    def side(name, units):
+        best = F.array_max(_units(units)["hpRatio"])
+        rows = F.transform(F.sequence(F.lit(1), F.size(_units(units))), lambda i: F.struct(F.lit(name).alias("side"), i.cast("long").alias("place"), F.get(_units(units), i - 1)["unitId"].alias("unit_id"), F.get(_units(units), i - 1)["hpRatio"].alias("hp"), best.alias("best")))
+        return F.when(F.size(_units(units)) > 0, rows).otherwise(F.slice(rows, 1, 0))
+
+    a = table(spark, sf, "accepted_samples").select("sample_no", F.explode(F.concat(side("ally", "allies"), side("enemy", "enemies"))).alias("u"))
+    return a.select("sample_no", "u.side", "u.place", "u.unit_id", "u.hp", F.round(F.col("u.best") - F.col("u.hp"), 6).alias("below_best"))
 
 
 @query("""
@@ -651,17 +666,49 @@ def file_profile(spark, sf):
 # Streams ------------------------------------------------------------------------------------------------------------------------
 
 
-@query("SELECT sample_no, batch_file FROM incoming_samples")
+@query("SELECT DISTINCT id, command_spec.command_text AS command_text FROM incoming_samples UNION SELECT DISTINCT id, command_spec.command_text FROM accepted_samples")
 def stream_ingest(spark, sf):
-    return ingest.ingest_once(spark, f"{sf}/incoming_samples.parquet", ["sample_no"]).select("sample_no", "batch_file")
+    narrow = lambda n: table(spark, sf, n).select("id", F.col(COMMAND).alias("command_text"))
+    sources = []
+    for n in ("accepted_samples", "incoming_samples", "accepted_samples"):  # the first is delivered again, as another file
+        sources.append(new_path(spark, "delivery"))
+        narrow(n).write.parquet(sources[-1])
+    return ingest.ingest_once(spark, sources, ["id", "command_text"])
 
 
 @query("""
-SELECT split, path, CAST(sum(requested_count) AS BIGINT) AS cursor_at FROM (SELECT DISTINCT coalesce(split, '') AS split, path, request_key, requested_count FROM batch_trace WHERE requested_count IS NOT NULL) GROUP BY 1, 2""")
+SELECT split, path, CAST(sum(requested_count) AS BIGINT) AS cursor_at FROM (SELECT DISTINCT coalesce(split, '') AS split, path, request_key, coalesce(requested_count, 0) AS requested_count FROM batch_trace) GROUP BY 1, 2""")
 def stream_cursor(spark, sf):
     return ingest.cursors(spark, f"{sf}/batch_trace.parquet")
 
 
+_TASK = "batch_no // 5"
+_ACCEPTED = f"""(SELECT sample_no, id, {_TASK} AS task, coalesce(trim(command_spec.command_text), '') <> '' AND command_spec.base_command_text IS NOT NULL AS ok,
+  row_number() OVER (PARTITION BY id, coalesce(trim(command_spec.command_text), '') <> '' AND command_spec.base_command_text IS NOT NULL ORDER BY {_TASK}, sample_no) = 1 AS is_first FROM incoming_samples)"""
+
+
+def _loop(spark, sf):
+    rows = table(spark, sf, "incoming_samples").select("sample_no", "id", F.col(COMMAND).alias("command"), F.col(BASE).alias("base"), F.floor(F.col("batch_no") / 5).alias("_task"))
+    rules_ = [*rules.blank("COMMAND", F.col("command")), rules.Rule("BASE_NULL", F.col("base").isNull())]
+    loop = ingest.Loop(spark, new_path(spark, "loop"), "id", "sample_no", rules_)
+    last = rows.agg(F.max("_task")).first()[0]
+    for task in range(0 if last is None else last + 1):
+        loop.take(rows.where(F.col("_task") == task).drop("_task"), task)
+    return loop
+
+
+@query(f"SELECT sample_no, task FROM {_ACCEPTED} WHERE ok AND is_first")
+def loop_accepted(spark, sf):
+    return _loop(spark, sf).accepted().select("sample_no", F.col("task").cast("long").alias("task"))
+
+
+@query(f"""
+SELECT task, count(*) AS n_rows, count(*) FILTER (ok AND is_first) AS n_accepted, count(*) FILTER (NOT ok) AS n_rejected, count(*) FILTER (ok AND NOT is_first) AS n_skipped,
+  CASE WHEN count(*) FILTER (ok AND is_first) = count(*) THEN 'completed' ELSE 'completed_with_skips_or_errors' END AS status FROM {_ACCEPTED} GROUP BY 1""")
+def loop_progress(spark, sf):
+    return _loop(spark, sf).progress().withColumn("task", F.col("task").cast("long"))
+
+
 # Nested records and drifting schemas ---------------------------------------------------------------------------------------
 
 ACTION, ITEM = "output.action", "output.action.sequence"
@@ -718,3 +765,6 @@ def p6_found(spark, sf):
 def p6_unified(spark, sf):
     lines = table(spark, sf, "drift_lines")
     return drift.unified(lines, drift.changes(lines)).withColumn("fields", F.to_json("fields"))
+
+
+from . import checks, files  # noqa: E402, F401  (they register their queries)

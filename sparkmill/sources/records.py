@@ -8,6 +8,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ..functions.text import strict_variant
 from ..operators.dewey import parse
 
 _RECORDS = pa.schema([("file_name", pa.string()), ("line_no", pa.int64()), ("format", pa.string()), ("record", pa.string()), ("raw", pa.string()), ("error", pa.string())])
@@ -71,6 +72,52 @@ def read_records(spark: SparkSession, path: str, on_error: str = "reject", unwra
     return got
 
 
+def read_jsonl(spark: SparkSession, path: str, on_error: str = "reject", glob: str = "*", recursive: bool = False) -> DataFrame:
+    """(file_name, record, raw, error): JSONL only, of any size: lines are split by Spark and tried on the JVM's side. Blank lines are none.
+
+    `on_error` as in `read_records`. A line is a record if it is one JSON object with nothing after it.
+    """
+    if on_error not in ("reject", "drop", "fail"):
+        raise ValueError(on_error)
+    lines = spark.read.option("recursiveFileLookup", recursive).option("pathGlobFilter", glob).text(path).select(F.col("_metadata.file_name").alias("file_name"), "value").where("trim(value) <> ''")
+    parsed = strict_variant(F.col("value"))
+    error = F.when(parsed.isNull(), "not JSON").when(~F.col("value").rlike(r"^\s*\{"), "not an object")
+    got = lines.withColumn("error", error)
+    if on_error == "drop":
+        got = got.where("error is null")
+    record = F.when(F.col("error").isNull(), F.col("value"))
+    if on_error == "fail":
+        record = F.when(F.col("error").isNotNull(), F.raise_error(F.concat("file_name", F.lit(" "), "error")).cast("string")).otherwise(F.col("value"))
+    return got.select("file_name", record.alias("record"), F.when(F.col("error").isNotNull(), F.col("value")).alias("raw"), "error")
+
+
+def load_object(spark: SparkSession, path: str) -> DataFrame:
+    """(file_name, document): JSON documents whose root must be an object; any other root raises with the file's name."""
+    texts = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_name").alias("file_name"), "value")
+    ok = F.coalesce(strict_variant(F.col("value")).isNotNull() & F.col("value").rlike(r"^\s*\{"), F.lit(False))
+    bad = F.raise_error(F.concat(F.lit("root is no object: "), F.col("file_name"))).cast("string")
+    return texts.select("file_name", F.when(ok, F.col("value")).otherwise(bad).alias("document"))
+
+
+def file_texts(records: DataFrame) -> DataFrame:
+    """(file_name, text): records of `read_records` back in the form their file had: lines, a list, a wrapped list, or one object. A file is one value."""
+    g = records.where("record is not null").groupBy("file_name").agg(F.first("format").alias("format"), F.array_sort(F.collect_list(F.struct("line_no", "record"))).alias("r"))
+    listed = F.concat(F.lit("[\n"), F.array_join(F.col("r.record"), ",\n"), F.lit("\n]"))
+    text = F.when(F.col("format") == "list", listed).when(F.col("format") == "wrapped", F.concat(F.lit('{"samples":'), listed, F.lit("}"))).otherwise(F.array_join(F.col("r.record"), "\n"))
+    return g.select("file_name", text.alias("text"))
+
+
+def plan_files(names: DataFrame, glob: str | None = None, number: int | None = None) -> DataFrame:
+    """(file_name, number): distinct files that match a glob (* and ?) and, if asked, have this number as the last one of their stem, in name order."""
+    stem = F.regexp_replace("file_name", r"\.[^.]*$", "")
+    n = F.nullif(F.regexp_extract(stem, r"([0-9]+)[^0-9]*$", 1), F.lit("")).try_cast("long")
+    out = names.select("file_name").distinct().withColumn("number", n)
+    if glob is not None:
+        pattern = "".join({"*": ".*", "?": "."}.get(c, "\\" + c if not c.isalnum() else c) for c in glob)
+        out = out.where(F.col("file_name").rlike(f"(?s)^{pattern}$"))
+    return (out if number is None else out.where(F.col("number") == number)).orderBy("file_name")
+
+
 def read_lines(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """JSONL of any size by its schema, splittable; what does not fit the schema is kept in _corrupt_record."""
     return spark.read.schema(f"{schema}, _corrupt_record string").option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt_record").json(path)
@@ -82,8 +129,10 @@ def reference(file_name, record_id, place):
 
 
 def find_record(records: DataFrame, record_id: str) -> DataFrame:
-    """The first record with an id, by file and line."""
-    return records.where(F.get_json_object("record", "$.id") == record_id).orderBy("file_name", "line_no").limit(1)
+    """The first record with an id, by file and line: one aggregate, nothing is sorted. No such record gives no row."""
+    found = records.where(F.get_json_object("record", "$.id") == record_id)
+    first = found.agg(F.min_by(F.struct("*"), F.struct("file_name", "line_no")).alias("r")).where("r is not null")
+    return first.select("r.*")
 
 
 def resolve(names: DataFrame, asked: str) -> DataFrame:

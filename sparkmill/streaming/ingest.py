@@ -9,19 +9,19 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..operators.rules import validate
 from ..session import exists, new_path
 
-BUCKETS = 256
+BUCKETS = 16
 
 
 class Intake:
     """A target table with a ledger of content hashes beside it. `take` is a foreachBatch sink: rows whose hash the ledger holds are left out.
 
     Rows and their hashes are written under the batch's number and overwrite it, so a batch that is run again after a failure
-    leaves the table as one run does. Files of the source are only seen once thanks to the stream's checkpoint. The ledger lies in BUCKETS folders by
+    leaves the table as one run does. Files of the source are only seen once thanks to the stream's checkpoint. The ledger lies in `buckets` folders by
     hash, and a batch reads those of its own hashes only; `run_no` numbers the streams that share one table.
     """
 
-    def __init__(self, spark: SparkSession, path: str, key: list[str], prepare: Callable[[DataFrame], DataFrame] = lambda df: df, run_no: int = 0):
-        self.spark, self.path, self.key, self.prepare, self.run_no = spark, path, key, prepare, run_no
+    def __init__(self, spark: SparkSession, path: str, key: list[str], prepare: Callable[[DataFrame], DataFrame] = lambda df: df, run_no: int = 0, buckets: int = BUCKETS):
+        self.spark, self.path, self.key, self.prepare, self.run_no, self.buckets = spark, path, key, prepare, run_no, buckets
 
     def _ledger(self, before: int) -> DataFrame | None:
         path = f"{self.path}/ledger"
@@ -30,11 +30,11 @@ class Intake:
     def take(self, df: DataFrame, batch: int) -> None:
         batch += self.run_no * 1_000_000_000
         rows = self.prepare(df).withColumn("_hash", F.sha2(F.to_json(F.struct(*self.key)), 256)).dropDuplicates(["_hash"])
-        rows = rows.withColumn("_bucket", F.pmod(F.xxhash64("_hash"), F.lit(BUCKETS)).cast("int")).persist()
+        rows = rows.withColumn("_bucket", F.pmod(F.xxhash64("_hash"), F.lit(self.buckets)).cast("int")).persist()
         try:
             ledger, fresh = self._ledger(batch), rows
             if ledger is not None:
-                touched = [r[0] for r in rows.select("_bucket").distinct().collect()]  # at most BUCKETS numbers
+                touched = [r[0] for r in rows.select("_bucket").distinct().collect()]  # at most as many numbers as there are buckets
                 fresh = rows.join(ledger.where(F.col("_bucket").isin(touched)).select("_hash"), "_hash", "left_anti").persist()
             fresh.drop("_hash", "_bucket").write.mode("overwrite").parquet(f"{self.path}/rows/batch={batch}")
             fresh.select("_hash", "_bucket").repartition("_bucket").write.mode("overwrite").partitionBy("_bucket").parquet(f"{self.path}/ledger/batch={batch}")
