@@ -1,4 +1,4 @@
-"""Ranks and running sums inside groups of any size, without sorting a group in one task."""
+"""Ranks, running sums, percentiles and joins over groups of any size, without sorting or gathering a group in one task."""
 
 from __future__ import annotations
 
@@ -81,3 +81,16 @@ def percentiles(df: DataFrame, group: list[str], values: dict[str, Column], shar
         a, z = pick(F.floor(at)), pick(F.ceil(at))
         out.append((a + (z - a) * (at - F.floor(at))).alias(f"{n}_p{round(s * 100)}"))
     return got.select(*group, *out)
+
+
+def spread_join(rows: DataFrame, by_key: DataFrame, key: str, n: str, hot: int = 1_000_000, most: int = 500_000) -> DataFrame:
+    """`rows` joined with a written table of unique keys that holds `n`, the number of rows of each key. Null keys match nothing; `n` is left out.
+
+    A table of few keys is broadcast and no row moves. Else only the keys of more than `hot` rows are (there are at most rows/`hot` of them), and just
+    the rows of other keys are shuffled, so that no task gets a key of more rows than that.
+    """
+    narrow = by_key.drop(n)
+    if by_key.count() <= most:
+        return rows.join(F.broadcast(narrow), key)
+    mark = F.broadcast(by_key.where(F.col(n) > hot).drop(n))
+    return rows.join(mark, key).unionByName(rows.join(mark.select(key), key, "left_anti").join(by_key.where(F.col(n) <= hot).drop(n), key))

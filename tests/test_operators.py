@@ -10,8 +10,9 @@ def rows(df, *cols):
     return sorted((tuple(r[c] for c in cols or df.columns) for r in df.collect()), key=repr)
 
 
-@pytest.mark.parametrize("seed", range(3))
-def test_components_against_one_union_find(spark, seed):
+@pytest.mark.parametrize("most", [3, 60, components.MERGE])
+@pytest.mark.parametrize("seed", range(2))
+def test_components_against_one_union_find(spark, seed, most):
     rng = random.Random(seed)
     links = [(rng.randrange(300), rng.randrange(300)) for _ in range(220)] + [(i, i + 1) for i in range(1000, 1060)] + [(5000, k) for k in range(5001, 5100)]
     up = {}
@@ -26,7 +27,7 @@ def test_components_against_one_union_find(spark, seed):
         up[max(a, b)] = min(a, b)
     loose = {a for a, b in links if a == b} - {x for a, b in links if a != b for x in (a, b)}
     want = {(x, root(x)) for x in up if x not in loose}
-    got = components.connected_components(spark.createDataFrame(links + [(1, None)], "a long, b long").repartition(5))
+    got = components.connected_components(spark.createDataFrame(links + [(1, None)], "a long, b long").repartition(7), most=most)
     assert set(rows(got)) == want and got.count() == len(want)
 
 
@@ -42,6 +43,14 @@ def test_ranks_are_a_permutation_of_each_group(spark, per_task):
         assert sorted(r["rank"] for r in got if r["g"] == g) == list(range(n))
 
 
+@pytest.mark.parametrize("hot", [2, 1000])
+def test_join_by_a_hot_key(spark, hot):
+    big = spark.createDataFrame([(i, "hot" if i % 3 else f"k{i}", "x") for i in range(60)] + [(99, None, "x")], "i int, k string, v string")
+    small = spark.createDataFrame([("hot", 40, 1), *[(f"k{i}", 1, i) for i in range(0, 60, 6)]], "k string, n long, v2 int")
+    got = rank.spread_join(big, small, "k", "n", hot=hot, most=0)
+    assert rows(got, "i") == rows(big.join(small, "k"), "i") and "v2" in got.columns and "n" not in got.columns
+
+
 def test_rollup_shares_and_spine(spark):
     leaves = spark.createDataFrame([("a", "x", 3), ("a", None, 1), ("b", "x", 4)], "p string, q string, n long")
     got = {(r["p"], r["q"], r["depth"]): (r["n"], r["share"]) for r in coverage.rollup_shares(leaves, ["p", "q"]).collect()}

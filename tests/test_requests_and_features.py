@@ -108,7 +108,7 @@ def test_files(spark, tmp_path):
     got = rows(records.file_texts(records.read_records(spark, str(tmp_path), "drop")))
     assert got == [("a.json", '[\n{"id":"1"},\n{"id":"2"}\n]'), ("b.jsonl", '{"id":"3"}')]
     lines = records.read_jsonl(spark, str(tmp_path), glob="*.jsonl")
-    assert rows(lines.select("record", "error")) == [(None, "not JSON"), (None, "not an object"), ('{"id":"3"}', None)]
+    assert rows(lines.select("record", "error")) == [('{"id":"3"}', None), (None, "not JSON"), (None, "not an object")]
     with pytest.raises(Exception, match="b.jsonl not"):
         records.read_jsonl(spark, str(tmp_path), "fail", glob="*.jsonl").collect()
     with pytest.raises(Exception, match="root is no object: a.json"):
