@@ -13,33 +13,34 @@ from ..session import cut
 
 SLOTS = [f"{side}_{n:02d}" for side in "AE" for n in range(1, 7)]
 NEED, GROUP = 9, 3  # 12 units in 4 groups of 3: with at most 3 that differ, one whole group agrees
-SCALE, TOL, CELL = 100_000, 2_500, 20_000  # ratios as integers of 1e-5; the tolerance 0.025; cells eight tolerances wide
-NO_RATIO = -1_000_000_000
-BROADCAST_IDS = 500_000  # ids; 8 bytes each
+TOL, CELL = 0.025 + 1e-9, 0.2  # the tolerance, with what decimal fractions lose as binary ones; cells eight tolerances wide
+NO_RATIO = -(2**62)  # the cell of a missing ratio
+BROADCAST_IDS = 500_000  # ids; 16 bytes each
 HEAVY = 64
 
 
-def _ratio(x: Column) -> Column:
-    wide = F.least(F.greatest(F.round(x * SCALE), F.lit(-2e9)), F.lit(2e9))  # beyond 20,000 all ratios are one
-    return F.coalesce(wide, F.lit(NO_RATIO)).cast("int")
-
-
 def with_units(df: DataFrame, area: Column) -> DataFrame:
-    """`df` with units, array<int> of three numbers a slot: a hash of the classes (null: no such unit), and the two ratios.
+    """`df` with units, struct of c, array<bigint> of a hash of each slot's classes (null: no such unit), and r, array<double> of its two ratios as they are.
 
     Only the compared fields are read, as long as nothing that may not be reordered (such as norm) comes before. A slot's unit is found by the place of its id, so all of it is generated code without lambdas.
     """
     names = ["unitId", "isAlive", "canBeTargeted", "isRanged", "teamFormationRole", "engagedByOpponentCount", "hpRatio", "attackRatioToAvg"]
     df = df.withColumns({f"_{side[0]}_{n}": area[side][n] for side in ("allies", "enemies") for n in names})
     df = df.withColumns({f"_at_{s}": F.array_position(f"_{'a' if s[0] == 'A' else 'e'}_unitId", F.lit(s)) for s in SLOTS})
-    flat = []
+    codes, ratios = [], []
     for s in SLOTS:
         at = F.coalesce(F.col(f"_at_{s}"), F.lit(0)).cast("int") - 1
         of = lambda n: F.get(F.col(f"_{'a' if s[0] == 'A' else 'e'}_{n}"), at)  # noqa: B023, E731
         flags = [F.coalesce(of(n).cast("int"), F.lit(2)) for n in names[1:4]]
-        code = F.hash(*flags, F.coalesce(of(names[4]), F.lit("-")), F.coalesce(of(names[5]), F.lit(-1)))
-        flat += [F.when(at >= 0, code), _ratio(of(names[6])), _ratio(of(names[7]))]
-    return df.withColumn("units", F.array(*flat)).drop(*[c for c in df.columns if c.startswith(("_a_", "_e_", "_at_"))])
+        codes.append(F.when(at >= 0, F.xxhash64(*flags, of(names[4]).isNull(), of(names[4]), of(names[5]).isNull(), of(names[5]))))
+        ratios += [of(names[6]).cast("double"), of(names[7]).cast("double")]
+    units = F.struct(F.array(*codes).alias("c"), F.array(*ratios).alias("r"))
+    return df.withColumn("units", units).drop(*[c for c in df.columns if c.startswith(("_a_", "_e_", "_at_"))])
+
+
+def identity(*contents: Column) -> Column:
+    """struct of two 64-bit hashes of the contents: the identity of a record or text among any number of them."""
+    return F.struct(F.xxhash64(*contents).alias("p"), F.xxhash64(F.lit(1), *contents).alias("q"))
 
 
 def block_keys(u: Column, probe: bool) -> Column:
@@ -49,12 +50,13 @@ def block_keys(u: Column, probe: bool) -> Column:
     """
     out = []
     for g in range(0, len(SLOTS), GROUP):
-        c = [F.get(u, F.lit(3 * i)) for i in range(g, g + GROUP)]
-        h = [F.get(u, F.lit(3 * i + 1)) for i in range(g, g + GROUP)]
+        c = [F.get(u["c"], F.lit(i)) for i in range(g, g + GROUP)]
+        h = [F.get(u["r"], F.lit(2 * i)) for i in range(g, g + GROUP)]
         head = F.when(sum((x.isNull().cast("int") for x in c), F.lit(0)) == 0, F.xxhash64(F.lit(g), *c))
-        cell = lambda x: F.floor(x.cast("long") / CELL)
+        cell = lambda x: F.coalesce(F.floor(x / CELL), F.lit(NO_RATIO))
         if probe:
-            near = [F.array_distinct(F.array(cell(x - TOL), cell(x + TOL))) for x in h]
+            wide = TOL + 1e-12  # adding rounds up to a value of a partner, never below it
+            near = [F.array_distinct(F.array(cell(x - wide), cell(x + wide))) for x in h]
             keys = F.transform(near[0], lambda a: F.xxhash64(head, a))
             for cells in near[1:]:
                 keys = _extended(keys, cells)
@@ -71,13 +73,18 @@ def _extended(keys: Column, cells: Column) -> Column:
     return F.flatten(F.transform(keys, lambda k: F.transform(cells, lambda a: F.xxhash64(k, a))))
 
 
+def n_units(u: Column) -> Column:
+    """The number of slots that hold a unit."""
+    return sum((F.get(u["c"], F.lit(i)).isNotNull().cast("int") for i in range(len(SLOTS))), F.lit(0))
+
+
 def agreed(a: Column, b: Column) -> Column:
-    """The number of slots that agree."""
+    """The number of slots that agree. A ratio that is no number agrees with nothing."""
     n = F.lit(0)
     for i in range(len(SLOTS)):
-        x, y = [F.get(a, F.lit(3 * i + j)) for j in range(3)], [F.get(b, F.lit(3 * i + j)) for j in range(3)]
-        near = lambda p, q: F.abs(p.cast("long") - q.cast("long")) <= TOL
-        n = n + F.when((x[0] == y[0]) & near(x[1], y[1]) & near(x[2], y[2]), 1).otherwise(0)
+        x, y = F.get(a["c"], F.lit(i)), F.get(b["c"], F.lit(i))
+        near = lambda j: F.coalesce(F.abs(F.get(a["r"], F.lit(j)) - F.get(b["r"], F.lit(j))) <= TOL, F.get(a["r"], F.lit(j)).isNull() & F.get(b["r"], F.lit(j)).isNull())
+        n = n + F.when((x == y) & near(2 * i) & near(2 * i + 1), 1).otherwise(0)
     return n
 
 
@@ -100,17 +107,17 @@ def by_text(a: DataFrame, b: DataFrame, rows_a: DataFrame, rows_b: DataFrame, te
     The texts' join (see overlap) is over distinct texts and orders pieces by rarity, so records that share units by the thousand
     but differ in what they say are never paired off. Of several texts that all must be like, the one with the most values is taken.
     """
-    from .overlap import like_pairs
+    from .overlap import like_pairs, text_id
 
     ra, rb = rows_a.join(a.select(F.col("x").alias("eid")).distinct(), "eid", "left_semi"), rows_b.join(b.select(F.col("y").alias("eid")).distinct(), "eid", "left_semi")
     n = ra.agg(*[F.approx_count_distinct(t).alias(t) for t in texts]).first()
     text = max(texts, key=lambda t: n[t])
-    ra, rb = [cut(r.select("eid", F.xxhash64(text).alias("tid"), F.col(text).alias("text")).dropDuplicates(["eid"]), "texts") for r in (ra, rb)]
+    ra, rb = [cut(r.select("eid", F.col(text).alias("text"), *[i.alias(c) for c, i in text_id(F.col(text)).items()]).dropDuplicates(["eid"]), "texts") for r in (ra, rb)]
     both = ra.select("tid", "text", F.lit(2).alias("m")).unionAll(rb.select("tid", "text", F.lit(1).alias("m")))
     like = cut(like_pairs(cut(both.groupBy("tid", "text").agg(F.bit_or("m").alias("mask")), "texts")), "like")
-    left = b.join(rb.select(F.col("eid").alias("y"), F.col("tid").alias("ty")), "y").join(like.select(F.col("x").alias("ty"), F.col("y").alias("tx")), "ty")
-    right = a.join(ra.select(F.col("eid").alias("x"), F.col("tid").alias("tx")), "x")
-    return left.join(right, ["k", "tx"]).select("x", "y")
+    left = b.join(rb.select(F.col("eid").alias("y"), F.col("tid").alias("x_"), F.col("tid2").alias("x2")), "y").join(like.select(F.col("x").alias("x_"), "x2", F.col("y").alias("tid"), F.col("y2").alias("tid2")), ["x_", "x2"])
+    right = a.join(ra.select(F.col("eid").alias("x"), "tid", "tid2"), "x")
+    return left.join(right, ["k", "tid", "tid2"]).select("x", "y")
 
 
 def probed(ik: DataFrame, pk: DataFrame, rows_a: DataFrame, rows_b: DataFrame, texts: list[str], ordered: bool = False, heavy: int = HEAVY) -> DataFrame:

@@ -28,8 +28,8 @@ def encode(df: DataFrame, no: Column, area: Column, first: Column, second: Colum
     """(no, eid, units, first, second) of every record that can be linked at all: both normal texts have a piece and 9 units are there."""
     e = df.select(no.cast("long").alias("no"), area.alias("area"), first.alias("first"), second.alias("second"))
     e = battle.with_units(e, F.col("area")).select("no", "units", norm(F.col("first")).alias("first"), norm(F.col("second")).alias("second"))
-    full = sum((F.get(F.col("units"), F.lit(3 * i)).isNotNull().cast("int") for i in range(len(battle.SLOTS))), F.lit(0))
-    return e.where(F.col("no").isNotNull() & (full >= battle.NEED) & (F.length("first") >= 2) & (F.length("second") >= 2)).withColumn("eid", F.xxhash64("units", "first", "second"))
+    told = F.col("no").isNotNull() & (battle.n_units(F.col("units")) >= battle.NEED) & (F.length("first") >= 2) & (F.length("second") >= 2)
+    return e.where(told).withColumn("eid", battle.identity(F.col("units"), F.col("first"), F.col("second")))
 
 
 def links(e: DataFrame) -> DataFrame:

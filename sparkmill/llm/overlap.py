@@ -15,7 +15,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.textnorm import like
 from ..session import cut
@@ -193,10 +193,15 @@ def _plan(texts: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndar
     return rank, dest, grid, least, tasks + int((grid[heavy] ** 2).sum())
 
 
+def text_id(text: Column) -> dict[str, Column]:
+    """tid and tid2 of a text, 64 bits each: the first runs through the joins, the second is checked wherever ids are turned into records again."""
+    return {"tid": F.xxhash64(text), "tid2": F.xxhash64(F.lit(1), text)}
+
+
 def like_pairs(texts: DataFrame) -> DataFrame:
-    """(x, y): tids of a left and a right text with like >= 0.6.
+    """(x, x2, y, y2): the ids (see `text_id`) of a left and a right text with like >= 0.6.
 
-    `texts`: tid long (unique), text (normal form), mask int. Mask bits 1 and 4 put a text on the left, 2 and 8 on the right; only 1 with 2
+    `texts`: tid long, text (normal form, each once), mask int. Texts whose tids collide are told apart by the second number. Mask bits 1 and 4 put a text on the left, 2 and 8 on the right; only 1 with 2
     and 4 with 8 are compared. A text that stands on both sides is paired with itself. Texts without pieces are like nothing;
     no texts give no pairs.
     """
@@ -205,8 +210,10 @@ def like_pairs(texts: DataFrame) -> DataFrame:
     lists = texts.mapInArrow(_entries(rank, dest, grid, least), "key long, side int, blob binary")
     found = cut(lists.repartition(max(8, tasks // KEYS), "key").groupBy("key").applyInArrow(_compare, "x long, y long").distinct(), "pairs")
     side = lambda s: texts.select(F.col("tid").alias(s), F.col("text").alias(f"t_{s}"))
-    close = found.join(side("x"), "x").join(side("y"), "y").where(like("t_x", "t_y") >= LIKE).select("x", "y")
-    return close.unionAll(texts.where(F.col("mask").bitwiseAND(F.shiftright("mask", 1)).bitwiseAND(5) > 0).select(F.col("tid").alias("x"), F.col("tid").alias("y")))
+    second = lambda t: text_id(F.col(t))["tid2"]
+    close = found.join(side("x"), "x").join(side("y"), "y").where(like("t_x", "t_y") >= LIKE).select("x", second("t_x").alias("x2"), "y", second("t_y").alias("y2"))
+    same = texts.where(F.col("mask").bitwiseAND(F.shiftright("mask", 1)).bitwiseAND(5) > 0).select("tid", second("text").alias("tid2"))
+    return close.unionAll(same.select("tid", "tid2", "tid", "tid2"))
 
 
 def cross_pairs(rows: DataFrame) -> DataFrame:
@@ -229,7 +236,7 @@ def cross_pairs(rows: DataFrame) -> DataFrame:
         "texts",
     )
     links = cut(like_pairs(texts), "links")
-    at = each.select("no", "is_left", "role", F.xxhash64("text").alias("tid"))
-    left = at.where("is_left").select(F.col("no").alias("a"), "role", F.col("tid").alias("x"))
-    right = at.where("not is_left").select(F.col("no").alias("b"), "role", F.col("tid").alias("y"))
-    return links.join(left, "x").join(right, ["y", "role"]).select(F.least("a", "b").alias("low_no"), F.greatest("a", "b").alias("high_no")).distinct()
+    at = each.select("no", "is_left", "role", *[i.alias(c) for c, i in text_id(F.col("text")).items()])
+    left = at.where("is_left").select(F.col("no").alias("a"), "role", F.col("tid").alias("x"), F.col("tid2").alias("x2"))
+    right = at.where("not is_left").select(F.col("no").alias("b"), "role", F.col("tid").alias("y"), F.col("tid2").alias("y2"))
+    return links.join(left, ["x", "x2"]).join(right, ["y", "y2", "role"]).select(F.least("a", "b").alias("low_no"), F.greatest("a", "b").alias("high_no")).distinct()

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.textnorm import base_text, norm, part
-from ..session import table
+from ..session import new_path, table
 from . import leaks, neargroups, overlap, packing, quota, spam, splits, suffixes
 from .linkage import LinkageStore
 
@@ -16,19 +16,37 @@ def _batch(df: DataFrame, batch) -> DataFrame:
     return df.select(F.col("sample_no").alias("no"), "id", batch.alias("batch"), F.col(COMMAND).alias("text"), F.col(AREA).alias("area"))
 
 
-def _linked(spark: SparkSession, sf: str) -> tuple[LinkageStore, DataFrame]:
-    store = LinkageStore(spark)
-    store.load(_batch(table(spark, sf, "accepted_samples"), F.lit(None)))
-    return store, store.absorb(_batch(table(spark, sf, "incoming_samples"), F.col("batch_no")))
+DELIVERIES = 4
+
+
+def _linked(spark: SparkSession, sf: str, merged: bool = False) -> tuple[LinkageStore, list[DataFrame]]:
+    """The incoming batches in DELIVERIES deliveries of successive batches, each absorbed by a store that is opened anew by its path."""
+    path = new_path(spark, "linkage")
+    LinkageStore(spark, path).load(_batch(table(spark, sf, "accepted_samples"), F.lit(None)))
+    new = _batch(table(spark, sf, "incoming_samples"), F.col("batch_no"))
+    marks = new.agg(F.percentile_approx("batch", [i / DELIVERIES for i in range(1, DELIVERIES)], 10_000)).first()[0] or []
+    store, moved = LinkageStore(spark, path), []
+    for low, high in zip([None, *sorted(set(marks))], [*sorted(set(marks)), None]):
+        due = F.lit(True) if low is None else F.col("batch") > low  # a row without a batch comes with the first
+        due = due & (F.lit(True) if high is None else F.col("batch") <= high)
+        links = store.absorb(new.where(due | F.col("batch").isNull() if low is None else due), f"up to batch {high}")
+        if merged:
+            moved.append(store.merge(links))
+        store = LinkageStore(spark, path)
+    return store, moved
 
 
 def p1_found(spark: SparkSession, sf: str) -> DataFrame:
-    return _linked(spark, sf)[1].select("known_no", "incoming_no")
+    return _linked(spark, sf)[0].links().select("known_no", "incoming_no")
 
 
 def p1_clusters(spark: SparkSession, sf: str) -> DataFrame:
-    store, links = _linked(spark, sf)
-    return store.merge(links).select(F.col("no").alias("sample_no"), F.col("rep").alias("cluster_no"))
+    """Every sample, accepted or incoming, with its cluster (its own number where it is alone) and its number of links."""
+    store, _ = _linked(spark, sf, merged=True)
+    every = table(spark, sf, "accepted_samples").select("sample_no").unionAll(table(spark, sf, "incoming_samples").select("sample_no")).distinct()
+    n = store.links().select(F.explode(F.array("known_no", "incoming_no")).alias("sample_no")).groupBy("sample_no").agg(F.count("*").alias("n_links"))
+    at = every.join(store.representatives().withColumnRenamed("no", "sample_no"), "sample_no", "left").join(n, "sample_no", "left")
+    return at.select("sample_no", F.coalesce("rep", "sample_no").alias("cluster_no"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
 
 
 def _near(spark: SparkSession, sf: str) -> DataFrame:

@@ -161,3 +161,61 @@ def test_weights_rise_with_agreement():
     w = linkage.learn_weights([(0, 0, 0, 900), (4, 3, 0, 60), (3, 3, 0, 20), (1, 0, 0, 50), (4, 3, 1, 5)])
     assert all(x == sorted(x) for x in w.values()) and w["l_text"][4] > w["l_text"][0]
     assert linkage.learn_weights([])["l_id"] == [0.0, 1.0]
+
+
+def seen(df):
+    return {(r["known_no"], r["incoming_no"]) for r in df.collect()}
+
+
+def test_a_reopened_store_is_the_one_that_stayed_open(spark, tmp_path, monkeypatch):
+    rows, rng = samples(9, 80)
+    batches = {i: None if i < 40 else (i - 40) // 20 for i, *_ in rows}
+    df = frame(spark, rows, rng, batches).cache()
+    of = lambda b: df.where(F.col("batch") == b)
+    path = str(tmp_path / "store")
+    linkage.LinkageStore(spark, path).load(df.where("batch is null"))
+    linkage.LinkageStore(spark, path).load(df.where("batch is null"))  # loaded once
+    for b in (0, 1):
+        store = linkage.LinkageStore(spark, path)
+        store.merge(store.absorb(of(b), f"batch {b}"))
+    with monkeypatch.context() as m:  # a round that fails before it is told leaves nothing that counts
+        m.setattr(linkage.LinkageStore, "_commit", lambda self, name: (_ for _ in ()).throw(OSError("lost")))
+        with pytest.raises(OSError):
+            linkage.LinkageStore(spark, path).absorb(of(2), "batch 2")
+    store = linkage.LinkageStore(spark, path)
+    links = store.absorb(of(2), "batch 2")
+    store.merge(links)
+    assert seen(links) == {p for p in links_of(rows, batches) if batches[p[1]] == 2 or batches[p[0]] == 2}
+    again = linkage.LinkageStore(spark, path)
+    assert seen(again.absorb(of(2), "batch 2")) == seen(links) and again.round == store.round == 4
+    again.merge(links)
+    once = linkage.LinkageStore(spark)
+    once.load(df.where("batch is null"))
+    once.merge(once.absorb(df.where("batch is not null")))
+    reps = lambda s: {(r["no"], r["rep"]) for r in s.representatives().collect()}
+    assert seen(again.links()) == links_of(rows, batches) == seen(once.links()) and reps(again) == reps(once)
+    assert set(again.weights) == {"l_text", "l_units", "l_id"} and sum(again.patterns.values()) > 0
+
+
+def test_a_batch_reads_its_own_buckets_only(spark):
+    rng = random.Random(3)
+    for n in (60, 240):
+        rows = [(i, field(rng), text(rng), "") for i in range(n)]
+        store = linkage.LinkageStore(spark, per_bucket=2)
+        store.load(frame(spark, rows, rng))
+        new = [(9000, rows[0][1], rows[0][2], "")]
+        assert seen(store.absorb(frame(spark, new, rng, {9000: 1}))) == {(0, 9000)}
+        assert store.buckets == n // 2 and store.read["keys"] <= 32 and store.read["contents"] <= 8 and store.read["members"] == 1
+
+
+@pytest.mark.parametrize(("a", "b", "same"), [(0.1, 0.125, True), (0.1, 0.125004, False), (30_000.0, 50_000.0, False), (30_000.0, 30_000.02, True), (None, None, True), (None, 0.0, False), (0.45, 0.425, True), (-1e18, -1e18, True), (float("nan"), 0.1, False)])
+def test_ratios_are_compared_as_they_are(spark, a, b, same):
+    rng = random.Random(1)
+    one = [u[:4] + (0.5, 0.5) + u[6:] for u in field(rng)]
+    two = list(one)
+    for i in range(0, 12, 3):  # one unit in each group, four in all
+        one[i], two[i] = one[i][:4] + (a,) + one[i][5:], two[i][:4] + (b,) + two[i][5:]
+    rows = [(1, one, "다리를 지켜라", "생각한다"), (2, two, "다리를 지켜라", "생각한다")]
+    df = frame(spark, rows, rng)
+    got = neargroups.near_groups(df, F.col("no"), F.col("area"), F.col("text"), F.col("second")).count()
+    assert got == (2 if same else 0)
