@@ -151,7 +151,7 @@ class LinkageStore:
             return self.links().where(F.col("round") == self.names[name]).drop("round")
         self.read = {}
         e = self._encode(df)
-        new = battle.one_of_each(e)
+        new = cut(battle.one_of_each(e), "new")
         pk = cut(new.select(F.col("eid").alias("y"), F.explode(battle.block_keys(F.col("units"), True)).alias("k")), "probes")
         asked = cut(pk.select("k").distinct(), "asked")
         touched = cut(self._table("keys", f"k long, eid {EID}", asked).select("k", F.col("eid").alias("x")).distinct().join(battle.small(asked), "k", "left_semi"), "touched")

@@ -11,6 +11,7 @@ into a grid of blocks of either side.
 
 from __future__ import annotations
 
+import heapq
 from collections.abc import Iterator
 
 import numpy as np
@@ -19,6 +20,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.textnorm import like
 from ..session import cut
+from .suffixes import span_pairs
 
 BUCKETS = 1 << 18
 LIKE = 0.6  # the integer bounds below are those of 6/10
@@ -26,6 +28,7 @@ TASK_PAIRS, TASK_ENTRIES = 15_000_000, 100_000  # of one key; a task gets about
 KEYS = 4
 BLOCK = 2_000_000
 NO_SIZE = np.int64(1 << 40)
+BY_SPAN, BY_JOIN = 1, 2
 ENTRY = np.dtype([("tid", "<i8"), ("b0", "<u8"), ("b1", "<u8"), ("bm", "<u4"), ("size", "<u4"), ("pos", "<u2")])
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -82,9 +85,9 @@ def _prefix_counts(rank: np.ndarray):
     return run
 
 
-def _entries(rank: np.ndarray, dest: np.ndarray, grid: np.ndarray, least: np.ndarray):
+def _entries(rank: np.ndarray, dest: np.ndarray, grid: np.ndarray, least: np.ndarray, part: np.ndarray):
     """Packed list entries by task key. dest: a bucket's first key, -1 for none; grid: into how many blocks either side is cut; least:
-    the smallest size either side has in a bucket. An entry so far back that even that partner could not reach the likeness is left out.
+    the smallest size either side has in a bucket; part: a key's partition. An entry so far back that even that partner could not reach the likeness is left out.
     """
 
     def pack(kept: list[np.ndarray], sides: list[np.ndarray], keys: list[np.ndarray]) -> pa.RecordBatch:
@@ -93,7 +96,7 @@ def _entries(rank: np.ndarray, dest: np.ndarray, grid: np.ndarray, least: np.nda
         e, side, key = e[order], side[order], key[order]
         at = np.nonzero(np.r_[True, (key[1:] != key[:-1]) | (side[1:] != side[:-1])])[0] if len(e) else []
         blobs = [x.tobytes() for x in np.split(e, at[1:])] if len(e) else []
-        return pa.RecordBatch.from_pydict({"key": pa.array(key[at], pa.int64()), "side": pa.array(side[at], pa.int32()), "blob": pa.array(blobs, pa.binary())})
+        return pa.RecordBatch.from_pydict({"key": pa.array(key[at], pa.int64()), "side": pa.array(side[at], pa.int32()), "part": pa.array(part[key[at]], pa.int32()), "blob": pa.array(blobs, pa.binary())})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept, sides, keys, held = [], [], [], 0
@@ -133,14 +136,8 @@ def _entries(rank: np.ndarray, dest: np.ndarray, grid: np.ndarray, least: np.nda
     return run
 
 
-def _compare(key: tuple[pa.Scalar, ...], groups: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    got: list[list[np.ndarray]] = [[], []]
-    for t in groups:
-        for side, blob in zip(t.column("side").to_pylist(), t.column("blob")):
-            got[side].append(np.frombuffer(blob.as_buffer(), ENTRY))
-    if not (got[0] and got[1]):
-        return
-    a, b = (np.concatenate(x) for x in got)
+def _compare(a: np.ndarray, b: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Pairs of one key's left and right entries that pass both bounds."""
     a, b = a[np.argsort(a["bm"] >> 4, kind="stable")], b[np.argsort(b["bm"] >> 4, kind="stable")]
     ka, kb = a["bm"] >> 4, b["bm"] >> 4
     lists = np.intersect1d(ka, kb)
@@ -168,8 +165,36 @@ def _compare(key: tuple[pa.Scalar, ...], groups: Iterator[pa.RecordBatch]) -> It
             yield pa.RecordBatch.from_pydict({"x": pairs[i : i + 100_000, 0].copy(), "y": pairs[i : i + 100_000, 1].copy()})
 
 
-def _plan(texts: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, int]:
-    """Rank, first task key, grid and least sizes of each bucket, and the number of tasks; from two fixed-size histograms."""
+def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The pairs of each key of a partition sorted by key, one key's entries at a time."""
+    held, at = [[], []], None
+
+    def done() -> Iterator[pa.RecordBatch]:
+        if held[0] and held[1]:
+            yield from _compare(*(np.concatenate(x) for x in held))
+
+    for t in batches:
+        for key, side, blob in zip(t.column("key").to_pylist(), t.column("side").to_pylist(), t.column("blob")):
+            if key != at:
+                yield from done()
+                held, at = [[], []], key
+            held[side].append(np.frombuffer(blob.as_buffer(), ENTRY))
+    yield from done()
+
+
+def _balanced(load: np.ndarray, parts: int) -> np.ndarray:
+    """A partition for each key, so that the partitions' loads are near each other: the heaviest first, each to the lightest partition."""
+    heap = [(0.0, p) for p in range(parts)]
+    out = np.zeros(len(load), np.int32)
+    for k in np.argsort(-load, kind="stable"):
+        n, p = heap[0]
+        out[k] = p
+        heapq.heapreplace(heap, (n + load[k] + 1, p))
+    return out
+
+
+def _plan(texts: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Rank, first task key, grid and least sizes of each bucket, and the partition of each task key; from two fixed-size histograms."""
     n = np.zeros(BUCKETS, np.int64)
     for r in texts.select("text").mapInArrow(_counts, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow().to_batches():
         n[r.column(0).to_numpy()] = r.column(1).to_numpy()
@@ -190,7 +215,10 @@ def _plan(texts: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndar
     dest[light] = (np.arange(BUCKETS)[light] * 2654435761 % (1 << 32)) % tasks
     heavy = np.nonzero(used & (grid > 1))[0]
     dest[heavy] = tasks + np.r_[0, np.cumsum(grid[heavy] ** 2)[:-1]] if len(heavy) else dest[heavy]
-    return rank, dest, grid, least, tasks + int((grid[heavy] ** 2).sum())
+    load = np.zeros(tasks + int((grid[heavy] ** 2).sum()))
+    np.add.at(load, dest[light], entries[light])
+    load[tasks:] = np.repeat(entries[heavy] / grid[heavy], grid[heavy] ** 2)
+    return rank, dest, grid, least, _balanced(load, max(8, len(load) // KEYS))
 
 
 def text_id(text: Column) -> dict[str, Column]:
@@ -198,29 +226,41 @@ def text_id(text: Column) -> dict[str, Column]:
     return {"tid": F.xxhash64(text), "tid2": F.xxhash64(F.lit(1), text)}
 
 
-def like_pairs(texts: DataFrame) -> DataFrame:
-    """(x, x2, y, y2): the ids (see `text_id`) of a left and a right text with like >= 0.6.
+def joined(texts: DataFrame) -> DataFrame:
+    """(x, y), with repeats: pairs of tids that may be alike, by the prefix-filter join; every pair that is alike is among them."""
+    rank, dest, grid, least, part = _plan(texts)
+    lists = texts.mapInArrow(_entries(rank, dest, grid, least, part), "key long, side int, part int, blob binary")
+    return lists.repartitionById(int(part.max(initial=0)) + 1, "part").sortWithinPartitions("key").select("key", "side", "blob").mapInArrow(_compared, "x long, y long")
+
+
+def like_pairs(texts: DataFrame, spans: DataFrame | None = None) -> DataFrame:
+    """(x, x2, y, y2, by): the ids (see `text_id`) of a left and a right text with like >= 0.6.
+
+    `spans`: further pairs (x, y) that may be alike, such as those of `suffixes.span_pairs`. `by` says where a pair came from: BY_SPAN, BY_JOIN or their sum;
+    0 for a text with itself.
 
     `texts`: tid long, text (normal form, each once), mask int. Texts whose tids collide are told apart by the second number. Mask bits 1 and 4 put a text on the left, 2 and 8 on the right; only 1 with 2
     and 4 with 8 are compared. A text that stands on both sides is paired with itself. Texts without pieces are like nothing;
     no texts give no pairs.
     """
     texts = texts.where(F.length("text") >= 2)
-    rank, dest, grid, least, tasks = _plan(texts)
-    lists = texts.mapInArrow(_entries(rank, dest, grid, least), "key long, side int, blob binary")
-    found = cut(lists.repartition(max(8, tasks // KEYS), "key").groupBy("key").applyInArrow(_compare, "x long, y long").distinct(), "pairs")
+    found = cut(joined(texts).distinct(), "pairs") if spans is None else cut(
+        joined(texts).withColumn("by", F.lit(BY_JOIN)).unionAll(spans.withColumn("by", F.lit(BY_SPAN))).groupBy("x", "y").agg(F.bit_or("by").alias("by")), "pairs"
+    )
     side = lambda s: texts.select(F.col("tid").alias(s), F.col("text").alias(f"t_{s}"))
     second = lambda t: text_id(F.col(t))["tid2"]
-    close = found.join(side("x"), "x").join(side("y"), "y").where(like("t_x", "t_y") >= LIKE).select("x", second("t_x").alias("x2"), "y", second("t_y").alias("y2"))
+    close = found.join(side("x"), "x").join(side("y"), "y").where(like("t_x", "t_y") >= LIKE).select("x", second("t_x").alias("x2"), "y", second("t_y").alias("y2"), *(["by"] if spans is not None else [F.lit(BY_JOIN).alias("by")]))
     same = texts.where(F.col("mask").bitwiseAND(F.shiftright("mask", 1)).bitwiseAND(5) > 0).select("tid", second("text").alias("tid2"))
-    return close.unionAll(same.select("tid", "tid2", "tid", "tid2"))
+    return close.unionAll(same.select("tid", "tid2", "tid", "tid2", F.lit(0)))
 
 
 def cross_pairs(rows: DataFrame) -> DataFrame:
-    """(low_no, high_no): records of which one is on the left and one on the right and which have like first or like second texts.
+    """(low_no, high_no, by): records of which one is on the left and one on the right and which have like first or like second texts.
 
-    `rows`: no long, is_left boolean, first, second (normal texts). Distinct texts are compared once; their records are only
-    joined to the like pairs at the end. Null numbers are dropped, null texts are like nothing, repeated rows count once.
+    `rows`: no long, is_left boolean, first, second (normal texts). Candidates are the texts that share a span found by the suffix array, and, for
+    pairs without one and for spans too common to be paired off, those of the prefix-filter join; both are compared exactly. `by` says which
+    found a pair (see `like_pairs`). Distinct texts are compared once; their records are only joined to the like pairs at the end. Null numbers
+    are dropped, null texts are like nothing, repeated rows count once.
     """
     each = rows.where("no is not null").select(
         "no", "is_left",
@@ -232,11 +272,12 @@ def cross_pairs(rows: DataFrame) -> DataFrame:
     texts = cut(
         each.select("text", F.when(F.col("is_left"), F.col("role")).otherwise(F.col("role") * 2).alias("m"))
         .groupBy("text").agg(F.bit_or("m").cast("int").alias("mask"))
-        .select(F.xxhash64("text").alias("tid"), "text", "mask"),
+        .select(text_id(F.col("text"))["tid"].alias("tid"), "text", "mask"),
         "texts",
     )
-    links = cut(like_pairs(texts), "links")
+    links = cut(like_pairs(texts, span_pairs(texts)), "links")
     at = each.select("no", "is_left", "role", *[i.alias(c) for c, i in text_id(F.col("text")).items()])
     left = at.where("is_left").select(F.col("no").alias("a"), "role", F.col("tid").alias("x"), F.col("tid2").alias("x2"))
     right = at.where("not is_left").select(F.col("no").alias("b"), "role", F.col("tid").alias("y"), F.col("tid2").alias("y2"))
-    return links.join(left, ["x", "x2"]).join(right, ["y", "y2", "role"]).select(F.least("a", "b").alias("low_no"), F.greatest("a", "b").alias("high_no")).distinct()
+    pairs = links.join(left, ["x", "x2"]).join(right, ["y", "y2", "role"]).select(F.least("a", "b").alias("low_no"), F.greatest("a", "b").alias("high_no"), "by")
+    return pairs.groupBy("low_no", "high_no").agg(F.bit_or("by").alias("by"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.textnorm import base_text, norm, part
-from ..session import new_path, table
+from ..session import cut, new_path, table
 from . import leaks, neargroups, overlap, packing, quota, spam, splits, suffixes
 from .linkage import LinkageStore
 
@@ -16,7 +16,7 @@ def _batch(df: DataFrame, batch) -> DataFrame:
     return df.select(F.col("sample_no").alias("no"), "id", batch.alias("batch"), F.col(COMMAND).alias("text"), F.col(AREA).alias("area"))
 
 
-DELIVERIES = 4
+DELIVERIES = 3
 
 
 def _linked(spark: SparkSession, sf: str, merged: bool = False) -> tuple[LinkageStore, list[DataFrame]]:
@@ -65,7 +65,7 @@ def p4_groups(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def p7_found(spark: SparkSession, sf: str) -> DataFrame:
+def _shared(spark: SparkSession, sf: str) -> DataFrame:
     a = table(spark, sf, "accepted_samples")
     rows = a.select(
         F.col("sample_no").alias("no"), (part(F.col("split")) != "train").alias("is_left"),
@@ -74,6 +74,18 @@ def p7_found(spark: SparkSession, sf: str) -> DataFrame:
     return overlap.cross_pairs(rows)
 
 
+def p7_found(spark: SparkSession, sf: str) -> DataFrame:
+    return _shared(spark, sf).select("low_no", "high_no")
+
+
+def p7_methods(spark: SparkSession, sf: str) -> DataFrame:
+    """How many pairs the suffix array found, and how many only the join did, for which no span is shared or one too common to be paired off."""
+    by = F.col("by")
+    return _shared(spark, sf).agg(
+        F.count("*").alias("n_pairs"), F.count_if(by.bitwiseAND(overlap.BY_SPAN) > 0).alias("n_by_spans"), F.count_if(by == overlap.BY_JOIN).alias("n_by_join_only"), F.count_if(by == 0).alias("n_same_text")
+    )
+
+
 def p7_counts(spark: SparkSession, sf: str) -> DataFrame:
     """The pairs counted by the split and source of the record that is not in train."""
     of = table(spark, sf, "accepted_samples").select(F.col("sample_no").alias("no"), part(F.col("split")).alias("split"), F.coalesce("gen_source", F.lit("")).alias("gen_source")).where("split <> 'train'")
@@ -83,14 +95,20 @@ def p7_counts(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def p7_coverage(spark: SparkSession, sf: str) -> DataFrame:
-    """Of each command outside train: how much of it stands in commands of train, by a suffix array, and the longest such span."""
-    a = table(spark, sf, "accepted_samples").select("sample_no", part(F.col("split")).alias("part"), "gen_source", norm(F.col(COMMAND)).alias("text"))
-    a = a.withColumn("tid", F.xxhash64("text"))
-    texts = a.groupBy("tid", "text").agg(F.bit_or(F.when(F.col("part") == "train", 2).otherwise(1)).alias("side"))
-    spans = suffixes.shared_spans(texts).drop("other")
-    out = a.where("part <> 'train'").join(spans, "tid", "left")
-    share = F.coalesce(F.col("covered") / F.length("text"), F.lit(0.0))
-    return out.select("sample_no", "part", "gen_source", F.round(share, 6).alias("covered_share"), F.coalesce("longest", F.lit(0)).alias("longest"))
+    """Of each record outside train: how much of its command and of its base text stands in commands and base texts of train, and the longest such spans."""
+    a = table(spark, sf, "accepted_samples")
+    each = {"command": norm(F.col(COMMAND)), "base": norm(base_text(F.col(COMMAND), F.col(BASE)))}
+    a = a.select("sample_no", part(F.col("split")).alias("part"), "gen_source", *[t.alias(n) for n, t in each.items()])
+    pool = a.select((F.col("part") == "train").alias("right"), F.explode(F.array(*each)).alias("text"))
+    texts = pool.groupBy("text").agg(F.bit_or(F.when(F.col("right"), 2).otherwise(1)).alias("side"))
+    texts = cut(texts.select(F.monotonically_increasing_id().alias("tid"), "text", "side"), "texts")
+    spans = cut(suffixes.shared_spans(texts).drop("other").join(texts.select("tid", "text"), "tid"), "spans")
+    out = a.where("part <> 'train'")
+    for n in each:
+        of = spans.select(F.col("text").alias(n), F.round(F.col("covered") / F.length("text"), 6).alias(f"{n}_covered"), F.col("longest").alias(f"{n}_longest"))
+        out = out.join(of, n, "left")
+    none = lambda c, v: F.coalesce(c, F.lit(v)).alias(c)
+    return out.select("sample_no", "part", "gen_source", *[none(f"{n}_covered", 0.0) for n in each], *[none(f"{n}_longest", 0) for n in each])
 
 
 def _families(spark: SparkSession, sf: str) -> DataFrame:
@@ -175,7 +193,7 @@ def p10_found(spark: SparkSession, sf: str) -> DataFrame:
     return p10_share(spark, sf).where("spam_share > 0.5").select("doc_id")
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_clusters, p4_found, p4_groups, p2_found, p2_splits, p5_found, p5_report, p5_draw, p7_found, p7_counts, p7_coverage, p8_found, p8_containers, p8_unused, p9_found, p9_alignments, p10_share, p10_found)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_clusters, p4_found, p4_groups, p2_found, p2_splits, p5_found, p5_report, p5_draw, p7_found, p7_methods, p7_counts, p7_coverage, p8_found, p8_containers, p8_unused, p9_found, p9_alignments, p10_share, p10_found)}
 _PLAIN = "replace(replace(lower(regexp_replace({0}, '^\\s+|\\s+$', '', 'g')), '-', '_'), ' ', '_')"
 
 

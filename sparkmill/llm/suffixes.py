@@ -106,7 +106,7 @@ def longest(suffixes: list[str], sides: list[int], span: int) -> list[tuple[int,
 
 
 def _match(span: int):
-    schema = pa.schema([("tid", pa.int64()), ("off", pa.int32()), ("n", pa.int32()), ("other", pa.int64())])
+    schema = pa.schema([("tid", pa.int64()), ("off", pa.int32()), ("n", pa.int32()), ("other", pa.int64()), ("at", pa.int32())])
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: list[pd.DataFrame] = []
@@ -118,7 +118,7 @@ def _match(span: int):
             cut = np.nonzero(np.r_[True, (key[0][1:] != key[0][:-1]) | (key[1][1:] != key[1][:-1])])[0]
             for s, e in zip(cut, [*cut[1:], len(f)]):
                 if 0 < side[s:e].sum() < e - s:
-                    out += [(tid[s + i], off[s + i], n, tid[s + r]) for i, n, r in longest(suffix[s:e], side[s:e].tolist(), span)]
+                    out += [(tid[s + i], off[s + i], n, tid[s + r], off[s + r]) for i, n, r in longest(suffix[s:e], side[s:e].tolist(), span)]
             return out
 
         for f in frames:  # sorted by gram and salt; the last group of a frame may go on in the next
@@ -135,20 +135,24 @@ def _match(span: int):
 
 
 def _merge(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Spans sorted by text and offset into characters covered, the longest span and the other text it stands in."""
-    tid = end = None
+    """Spans sorted by text and offset into characters covered, the longest span and the other text it stands in. Spans that follow each other in both
+    texts are one."""
+    tid = end = chain = begin = before = None
     covered = best = other = 0
     for f in frames:
         out = []
-        for t, o, n, x in zip(f["tid"], f["off"], f["n"], f["other"]):
+        for t, o, n, x, at in zip(f["tid"], f["off"], f["n"], f["other"], f["at"]):
             if t != tid:
                 if tid is not None:
                     out.append((tid, covered, best, other))
-                tid, end, covered, best = t, 0, 0, 0
+                tid, end, covered, best, chain = t, 0, 0, 0, None
+            if (x, at - o) != chain or o != before + 1:
+                chain, begin = (x, at - o), o
+            before = o
             covered += max(0, o + n - max(o, end))
             end = max(end, o + n)
-            if n > best:
-                best, other = n, x
+            if o + n - begin > best:
+                best, other = o + n - begin, x
         yield pd.DataFrame(out, columns=["tid", "covered", "longest", "other"])
     if tid is not None:
         yield pd.DataFrame([(tid, covered, best, other)], columns=["tid", "covered", "longest", "other"])
@@ -158,7 +162,9 @@ def shared_spans(texts: DataFrame, span: int = SPAN, most: int = MOST) -> DataFr
     """(tid, covered, longest, other): for each left text with any, the characters in spans of `span` or more that stand in right texts.
 
     `texts`: tid long (unique), text, side int (1 left, 2 right, 3 both; a text on both sides covers itself). Null and shorter texts share
-    nothing; no texts give no rows. `other` is a right text with the longest span.
+    nothing; no texts give no rows. `other` is a right text with the longest span. `covered` is exact at any length; suffixes are compared by their first
+    WIDTH characters, and a longer span is put together from spans that follow each other in one right text, so where several right texts agree for WIDTH
+    characters, `longest` may be that of another than the one that goes on longest.
     """
     texts = texts.select("tid", "text", "side").where(F.length("text") >= span)
     n = np.zeros((2, MAP), np.int64)
@@ -167,6 +173,150 @@ def shared_spans(texts: DataFrame, span: int = SPAN, most: int = MOST) -> DataFr
     both, salts = n.all(0), np.maximum(1, -(-n[1] // most))
     kinds = "gram long, salt int, tid long, off int, side int, suffix string"
     sorted_ = texts.mapInArrow(_emit(both, salts, span), kinds).repartition("gram", "salt").sortWithinPartitions("gram", "salt")
-    found = sorted_.mapInPandas(_match(span), "tid long, off int, n int, other long").groupBy("tid", "off").agg(F.max(F.struct("n", "other")).alias("m"))
-    spans = found.select("tid", "off", "m.n", "m.other").repartition("tid").sortWithinPartitions("tid", "off")
+    found = sorted_.mapInPandas(_match(span), "tid long, off int, n int, other long, at int").groupBy("tid", "off").agg(F.max(F.struct("n", "other", "at")).alias("m"))
+    spans = found.select("tid", "off", "m.n", "m.other", "m.at").repartition("tid").sortWithinPartitions("tid", "off")
     return spans.mapInPandas(_merge, "tid long, covered long, longest long, other long")
+
+
+# Pairs of texts that share a span ----------------------------------------------------------------------------------------------
+
+RUN = 12  # the span that two texts share, by which they are found
+PAIRS = 50_000  # of one interval that are paired off
+BITS = 1 << 24
+
+
+def _picked(texts: list[str], n: np.ndarray, run: int, span: int) -> tuple[np.ndarray, ...]:
+    """Row, offset and hash of the suffixes that stand for a text: of every `run` characters the one that begins with the rarest gram.
+
+    Which that is follows from these characters alone, so two texts that share them have the same gram among theirs.
+    """
+    row, off, h = _grams(texts, span)
+    if not len(h):
+        return row, off, h
+    order = (np.minimum(n[(h >> np.uint64(44)).astype(np.int64)], (1 << 20) - 1).astype(np.uint64) << np.uint64(44)) | (h >> np.uint64(20))
+    w = run - span + 1
+    best, have = np.arange(len(h)), 1  # place of the least order in the `have` places from each on, by doubling
+    while have < w:
+        step = min(have, w - have)
+        if len(best) <= step:
+            return row[:0], off[:0], h[:0]
+        a, b = best[:-step], best[step:]
+        best = np.where(order[a] <= order[b], a, b)
+        have += step
+    last = np.arange(len(best)) + w - 1
+    picked = np.unique(best[row[: len(best)] == row[last]])
+    return row[picked], off[picked], h[picked]
+
+
+def _side_bits(n: np.ndarray, run: int, span: int):
+    def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = np.zeros((2, BITS), bool)
+        for b in batches:
+            row, _, h = _picked(b.column("text").to_pylist(), n, run, span)
+            mask, at = b.column("mask").to_numpy(zero_copy_only=False)[row], (h >> np.uint64(40)).astype(np.int64)
+            bits[0][at[mask & 5 > 0]] = True
+            bits[1][at[mask & 10 > 0]] = True
+        words = np.packbits(bits, axis=1).view(np.int64)
+        at = np.nonzero(words.any(0))[0]
+        yield pa.RecordBatch.from_pydict({"word": at, "l": words[0][at], "r": words[1][at]})
+
+    return go
+
+
+def _suffixes(n: np.ndarray, both: np.ndarray, run: int, span: int):
+    """Two hashes of each picked suffix, of its first and its next `span` characters, with its text, sides and number of pieces."""
+
+    def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            texts, tid, mask = b.column("text").to_pylist(), b.column("tid").to_numpy(), b.column("mask").to_numpy(zero_copy_only=False).astype(np.int32)
+            row, off, h = _picked(texts, n, run, span)
+            keep = both[(h >> np.uint64(40)).astype(np.int64)]
+            row, off, h = row[keep], off[keep], h[keep]
+            if not len(row):
+                continue
+            grow, goff, gh = _grams(texts, span)
+            size = np.array([len(t) for t in texts])
+            first = np.searchsorted(grow, row)  # grams stand in the order of rows and offsets
+            after = first + off + span
+            whole = off + 2 * span <= size[row]
+            deep = np.where(whole, gh[np.minimum(after, len(gh) - 1)], np.uint64(0))
+            pieces = np.array([len(set(zip(texts[r], texts[r][1:]))) for r in np.unique(row)], np.int32)[np.searchsorted(np.unique(row), row)]
+            yield pa.RecordBatch.from_pydict({"h": h.view(np.int64), "deep": deep.view(np.int64), "tid": tid[row], "mask": mask[row], "size": pieces})
+
+    return go
+
+
+def _interval_pairs(tid: np.ndarray, mask: np.ndarray, size: np.ndarray, deep: np.ndarray, most: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Left and right tids of an interval of suffixes with a common prefix; one that holds more pairs than `most` is cut into those of the longer
+    prefixes, and what is still too large gives none."""
+    for left, right in ((1, 2), (4, 8)):
+        i, j = np.nonzero(mask & left)[0], np.nonzero(mask & right)[0]
+        if not len(i) or not len(j):
+            continue
+        if len(i) * len(j) > most:
+            if deep is not None:
+                order = np.argsort(deep, kind="stable")
+                cut = np.nonzero(np.diff(deep[order]))[0] + 1
+                for part in np.split(order, cut):
+                    if deep[part[0]]:
+                        yield from _interval_pairs(tid[part], mask[part] & (left | right), size[part], None, most)
+            continue
+        near = 10 * np.minimum(size[i][:, None], size[j][None, :]) >= 6 * np.maximum(size[i][:, None], size[j][None, :])
+        a, b = np.nonzero(near & (tid[i][:, None] != tid[j][None, :]))
+        yield tid[i[a]], tid[j[b]]
+
+
+def _intervals(most: int):
+    names = ["h", "deep", "tid", "mask", "size"]
+
+    def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for b in _with_end(batches):  # sorted; the last interval of a batch may go on in the next
+            now = None if b is None else [b.column(c).to_numpy(zero_copy_only=False) for c in names]
+            cols = held if now is None else now if held is None else [np.concatenate(x) for x in zip(held, now)]
+            if cols is None or not len(cols[0]):
+                continue
+            h = cols[0]
+            start = np.nonzero(np.r_[True, h[1:] != h[:-1]])[0]
+            end = len(h) if b is None else start[-1]
+            held = None if b is None else [c[end:] for c in cols]
+            xs, ys = [], []
+            both = np.bitwise_or.reduceat(cols[3], start)
+            for s, e, m in zip(start, [*start[1:], len(h)], both):
+                if e <= end and (m & 3 == 3 or m & 12 == 12):
+                    for x, y in _interval_pairs(cols[2][s:e], cols[3][s:e], cols[4][s:e], cols[1][s:e], most):
+                        xs.append(x)
+                        ys.append(y)
+            if xs:
+                pairs = np.unique(np.stack([np.concatenate(xs), np.concatenate(ys)], 1), axis=0)
+                for i in range(0, len(pairs), 100_000):
+                    yield pa.RecordBatch.from_pydict({"x": pairs[i : i + 100_000, 0].copy(), "y": pairs[i : i + 100_000, 1].copy()})
+
+    return go
+
+
+def _with_end(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch | None]:
+    yield from batches
+    yield None
+
+
+def span_pairs(texts: DataFrame, run: int = RUN, span: int = SPAN, most: int = PAIRS) -> DataFrame:
+    """(x, y), with repeats: tids of a left and a right text that share `run` characters in a row and whose numbers of pieces allow a likeness of 0.6.
+
+    `texts`: tid long, text, mask int (bits 1 and 4 left, 2 and 8 right; 1 meets 2 and 4 meets 8). Of the array of all suffixes those are kept that begin
+    with the rarest gram of `span` characters in some `run` characters of their text, so a shared span keeps the same suffix on both sides. They
+    are partitioned by that gram and sorted; adjacent suffixes with a common prefix make an interval, and one that holds both sides gives pairs. An interval of more
+    than `most` pairs is cut into those of twice the prefix, and what is still larger gives none: such pairs are left to the caller's own join.
+    Suffixes whose gram no text of the other side has kept are dropped before they are shuffled, by two maps of fixed size.
+    """
+    texts = texts.select("tid", "text", "mask").where(F.length("text") >= run)
+    n = np.zeros(MAP, np.int64)
+    sides = texts.select("text", F.lit(1).alias("side"))
+    for r in sides.mapInArrow(_present(span), "bucket long, l long, r long").groupBy("bucket").agg(F.sum("l").alias("l")).toArrow().to_batches():
+        n[r.column(0).to_numpy()] = r.column(1).to_numpy()
+    words = np.zeros((2, BITS // 64), np.int64)
+    for r in texts.select("text", "mask").mapInArrow(_side_bits(n, run, span), "word long, l long, r long").groupBy("word").agg(F.bit_or("l"), F.bit_or("r")).toArrow().to_batches():
+        words[:, r.column(0).to_numpy()] = np.stack([r.column(1).to_numpy(), r.column(2).to_numpy()])
+    both = np.unpackbits((words[0] & words[1]).view(np.uint8)).astype(bool)
+    rows = texts.mapInArrow(_suffixes(n, both, run, span), "h long, deep long, tid long, mask int, size int")
+    return rows.repartition("h").sortWithinPartitions("h", "deep").mapInArrow(_intervals(most), "x long, y long")

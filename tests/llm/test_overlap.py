@@ -29,7 +29,9 @@ def test_cross_pairs_against_all_pairs(spark, tasks, monkeypatch):
     alike = lambda a, b: py_like(a or "", b or "") >= 0.6
     want = {(min(i, j), max(i, j)) for i, li, a, b in rows for j, lj, c, d in rows if li and not lj and (alike(a, c) or alike(b, d))}
     df = spark.createDataFrame(rows + rows[:5] + [(None, True, "가나", "가나")], "no long, is_left boolean, first string, second string").withColumn("tid", F.lit(1)).withColumn("mask", F.lit("clash"))
-    got = [tuple(r) for r in overlap.cross_pairs(df.repartition(3)).collect()]
+    got = overlap.cross_pairs(df.repartition(3)).collect()
+    assert {r["by"] for r in got} > {overlap.BY_JOIN, overlap.BY_SPAN | overlap.BY_JOIN}
+    got = [(r["low_no"], r["high_no"]) for r in got]
     assert len(got) == len(set(got)) and set(got) == want and want
 
 

@@ -37,8 +37,40 @@ def test_coverage_against_all_places(spark, most):
 def test_long_spans_follow_each_other(spark):
     df = spark.createDataFrame([(1, "나" + "가다" * 400, 1), (2, "가다" * 400 + "라", 2)], "tid long, text string, side int")
     assert suffixes.shared_spans(df).first()["covered"] == 800
+    rng = random.Random(1)
+    long = "".join(chr(0xAC00 + rng.randrange(3000)) for _ in range(1000))
+    df = spark.createDataFrame([(1, "나" + long + "다", 1), (2, "라" + long + "마", 2), (3, long[100:600], 2)], "tid long, text string, side int")
+    got = suffixes.shared_spans(df).first()
+    assert got["covered"] == got["longest"] == 1000 and got["other"] == 2
 
 
 def test_nothing_shared(spark):
     df = spark.createDataFrame([(1, "가나다라마바사아자차", 1)], "tid long, text string, side int")
     assert suffixes.shared_spans(df).count() == 0 and suffixes.shared_spans(df.where("false")).count() == 0
+
+
+@pytest.mark.parametrize("most", [suffixes.PAIRS, 1])
+def test_every_shared_run_gives_its_pair(spark, most):
+    rng = random.Random(8)
+    word = lambda n: "".join(chr(0xAC00 + rng.randrange(400)) for _ in range(n))
+    parts = [word(rng.randrange(6, 22)) for _ in range(30)]
+    rows = [(i, rng.choice(parts) + word(rng.randrange(6)) + rng.choice(parts), rng.choice([1, 2, 3, 4, 8, 10, 5, 15])) for i in range(120)]
+    rows += [(500, "", 1), (501, None, 2), (502, "짧은", 3), (503, "가" * 900, 1), (504, "가" * 700 + "나", 2)]
+    want = set()
+    for x, a, p in rows:
+        for y, b, q in rows:
+            if x != y and a and b and p & (q >> 1) & 5:
+                k, n = len({*zip(a, a[1:])}), len({*zip(b, b[1:])})
+                if 10 * min(k, n) >= 6 * max(k, n) and any(a[i : i + suffixes.RUN] in b for i in range(len(a) - suffixes.RUN + 1)):
+                    want.add((x, y))
+    df = spark.createDataFrame(rows, "tid long, text string, mask int").withColumn("h", F.lit("clash"))
+    got = {tuple(r) for r in suffixes.span_pairs(df.repartition(4), most=most).collect()}
+    if most == 1:
+        assert len(got) < len(want)  # what is too common is left to the join
+    else:
+        assert got >= want and want
+
+
+def test_no_span_pairs(spark):
+    df = spark.createDataFrame([(1, "가나다라마바사아자차카타파하", 1)], "tid long, text string, mask int")
+    assert suffixes.span_pairs(df).count() == 0 and suffixes.span_pairs(df.where("false")).count() == 0
