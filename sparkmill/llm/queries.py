@@ -123,7 +123,18 @@ def p2_found(spark: SparkSession, sf: str) -> DataFrame:
 
 def p2_splits(spark: SparkSession, sf: str) -> DataFrame:
     shares = {r["split"]: r["share"] for r in table(spark, sf, "split_targets").orderBy(F.desc("share"), "split").collect()}
-    return splits.grouped_split(_families(spark, sf), ["base", "family"], shares).select("sample_no", "group_no", "size", "new_split")
+    return splits.grouped_split(_families(spark, sf), ["base", "family"], shares, no="sample_no").select("sample_no", "group_no", "size", "new_split")
+
+
+def p2_shares(spark: SparkSession, sf: str) -> DataFrame:
+    """For each split its target, how far the records it got are from that in records, whether that is within the largest group, and families in two splits."""
+    s = cut(p2_splits(spark, sf), "splits")
+    fam = _families(spark, sf).select("sample_no", "family").join(s.select("sample_no", "new_split"), "sample_no")
+    n_torn = fam.groupBy("family").agg((F.min("new_split") != F.max("new_split")).alias("t")).agg(F.count_if("t")).scalar()
+    got = s.groupBy(F.col("new_split").alias("split")).agg(F.count("*").alias("n"))
+    whole, largest = s.agg(F.count("*")).scalar(), s.agg(F.max("size")).scalar()
+    off = F.abs(F.coalesce("n", F.lit(0)) - F.col("share") * whole)
+    return table(spark, sf, "split_targets").join(got, "split", "left").select("split", "share", (off <= F.greatest(largest, F.lit(1))).alias("is_near"), n_torn.alias("n_torn_families"))
 
 
 def _quota(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
@@ -142,13 +153,28 @@ def _quota(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
 
 
 def p5_found(spark: SparkSession, sf: str) -> DataFrame:
-    return quota.report(*_quota(spark, sf)).where("is_short").select("request_no", "category")
+    return quota.outcome(*_quota(spark, sf)).where("is_short and n_drawn <= n_have").select("request_no", "category")
 
 
 def p5_report(spark: SparkSession, sf: str) -> DataFrame:
     return quota.report(*_quota(spark, sf)).select("request_no", "category", F.round("n_want", 6).alias("n_want"), "n_need", "n_have", "is_short")
 
 
+def p5_outcome(spark: SparkSession, sf: str) -> DataFrame:
+    """What was wanted, at hand and drawn, and the share of the request's draw next to the target share."""
+    r = quota.outcome(*_quota(spark, sf))
+    return r.select("request_no", "category", F.round("n_want", 6).alias("n_want"), "n_have", "is_short", "n_drawn", F.round("share", 6).alias("share"), F.round("share_drawn", 6).alias("share_drawn"))
+
+
+def p5_totals(spark: SparkSession, sf: str) -> DataFrame:
+    """For each request its size, what was drawn, whether that is what there is to draw, and how many categories are below their floor though they have more."""
+    r = quota.outcome(*_quota(spark, sf))
+    most = F.when(F.col("share") > 0, F.col("n_have")).otherwise(F.least("n_floor", "n_have"))
+    g = r.groupBy("request_no").agg(F.first("sample_size").alias("sample_size"), F.sum("n_drawn").alias("n_drawn"), F.sum(most).alias("_most"), F.sum(F.least("n_floor", "n_have")).alias("_floors"), F.count_if(F.col("n_drawn") < F.least("n_floor", "n_have")).alias("n_below_floor"))
+    right = F.col("n_drawn") == F.least(F.greatest("sample_size", "_floors"), "_most")
+    return g.select("request_no", "sample_size", "n_drawn", right.alias("is_whole"), "n_below_floor")
+
+
 def p5_draw(spark: SparkSession, sf: str) -> DataFrame:
     return quota.draw(*_quota(spark, sf)).select("request_no", "category", F.col("no").alias("sample_no"), "by_floor")
 
@@ -193,7 +219,7 @@ def p10_found(spark: SparkSession, sf: str) -> DataFrame:
     return p10_share(spark, sf).where("spam_share > 0.5").select("doc_id")
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_clusters, p4_found, p4_groups, p2_found, p2_splits, p5_found, p5_report, p5_draw, p7_found, p7_methods, p7_counts, p7_coverage, p8_found, p8_containers, p8_unused, p9_found, p9_alignments, p10_share, p10_found)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_clusters, p4_found, p4_groups, p2_found, p2_splits, p2_shares, p5_found, p5_report, p5_outcome, p5_totals, p5_draw, p7_found, p7_methods, p7_counts, p7_coverage, p8_found, p8_containers, p8_unused, p9_found, p9_alignments, p10_share, p10_found)}
 _PLAIN = "replace(replace(lower(regexp_replace({0}, '^\\s+|\\s+$', '', 'g')), '-', '_'), ' ', '_')"
 
 
@@ -213,7 +239,10 @@ f AS (SELECT request_no, category, n_want, n_need, CAST(coalesce(sum(n), 0) AS B
   FROM g LEFT JOIN c ON g.split = c.split AND g.axis = c.axis AND g.value = c.value AND (g.parent IS NULL OR g.parent = c.intent) GROUP BY ALL)"""
 
 ORACLE_SQL: dict[str, str] = {
+    "p2_shares": "SELECT split, share, true AS is_near, 0 AS n_torn_families FROM split_targets",
     "p5_found": _SHORT + " SELECT request_no, category FROM f WHERE n_have < n_need",
     "p5_report": _SHORT + " SELECT *, n_have < n_need AS is_short FROM f",
+    "p5_totals": _SHORT + """ SELECT f.request_no, r.sample_size, CAST(least(greatest(r.sample_size, sum(least(r.min_rows, n_have))), sum(CASE WHEN n_want > 0 THEN n_have ELSE least(r.min_rows, n_have) END)) AS BIGINT) AS n_drawn,
+  true AS is_whole, 0 AS n_below_floor FROM f JOIN sample_requests r USING (request_no) GROUP BY 1, 2, r.min_rows""",
     "p8_found": "SELECT limit_name, doc_id FROM documents, pack_limits WHERE strlen(coalesce(text, '')) + 1 > capacity_tokens",
 }

@@ -1,4 +1,5 @@
-"""Splits that keep related records together: union-find over shared keys, then groups largest first to the split furthest below target."""
+"""Splits that keep related records together: union-find over shared keys with local forests merged over levels, then groups largest first to the split
+furthest below target."""
 
 from __future__ import annotations
 
@@ -8,8 +9,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.textnorm import nfkc
 from ..operators.components import connected_components
-from ..operators.rank import ranked
-from ..session import cut, mark_small
+from ..operators.rank import ranked, spread_join
+from ..session import cut
 
 
 def family(text: Column) -> Column:
@@ -18,20 +19,28 @@ def family(text: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(t, "([ae])_[0-9]{2}", "$1"), "_", "")
 
 
-def related(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """`rows` with `group_no`: records that share a value of any key, also through others, have the same.
+def keyed(rows: DataFrame, keys: list[str], no: str | None = None) -> DataFrame:
+    """`rows` with _keys, the hashes of the keys that are not null, and _first, the first of them. A record without any key has a number of its own from its
+    column `no`, or, if none is named, from all its columns, so that repeats of it stay together."""
+    h = [F.when(F.col(k).isNotNull(), F.xxhash64(F.lit(i if len(keys) > 1 else 0), F.col(k).cast("string"))) for i, k in enumerate(keys)]
+    rows = rows.withColumn("_keys", F.array_compact(F.array(*h)))
+    own = F.xxhash64(F.lit("alone"), *([no] if no else [c for c in rows.columns if c != "_keys"]))
+    return rows.withColumn("_first", F.coalesce(F.get("_keys", F.lit(0)), own))
+
 
-    Null keys relate nothing; a record without any key is a group of its own. The graph has key values as its nodes, not records:
-    a value shared by any number of records is one node, and a record only ties its own values together. With one key nothing has to be tied.
+def groups_of(rows: DataFrame, keys: list[str], *aggregates: Column) -> DataFrame:
+    """(_first, group_no, _n, aggregates...) of `keyed` rows, written: each first key with its group and what its records come to.
+
+    Records that share a value of any key, also through others, are of one group. Null keys relate nothing. The graph has key values as its nodes, not
+    records: a value shared by any number of records is one node, and a record only ties its own values together; with one key nothing has
+    to be tied. Records are counted by key before anything is shuffled.
     """
-    h = [F.when(F.col(k).isNotNull(), F.xxhash64(F.lit(i if len(keys) > 1 else 0), F.col(k).cast("string"))) for i, k in enumerate(keys)]
-    own = F.array_compact(F.array(*h))
-    rows = rows.withColumn("_keys", own).withColumn("_first", F.coalesce(F.get("_keys", F.lit(0)), F.xxhash64(F.lit("alone"), F.monotonically_increasing_id())))
+    by_first = rows.groupBy("_first").agg(F.count("*").alias("_n"), *aggregates)
     if len(keys) == 1:
-        return rows.withColumnRenamed("_first", "group_no").drop("_keys")
+        return cut(by_first.withColumn("group_no", F.col("_first")), "keys")
     ties = rows.select(F.explode(F.transform(F.slice("_keys", 2, len(keys)), lambda k: F.struct(F.get("_keys", F.lit(0)).alias("a"), k.alias("b")))).alias("t"))
-    roots = connected_components(ties.select("t.a", "t.b"))
-    return rows.join(mark_small(cut(roots.select(F.col("node").alias("_first"), F.col("root").alias("_root")), "roots")), "_first", "left").withColumn("group_no", F.coalesce("_root", "_first")).drop("_keys", "_first", "_root")
+    roots = connected_components(ties.select("t.a", "t.b")).select(F.col("node").alias("_first"), F.col("root").alias("group_no"))
+    return cut(by_first.join(roots, "_first", "left").withColumn("group_no", F.coalesce("group_no", "_first")), "keys")
 
 
 def quotas(sizes: list[tuple[int, int]], shares: dict[str, float]) -> list[tuple[int, str, int, int]]:
@@ -85,22 +94,26 @@ def assign(groups: DataFrame, shares: dict[str, float]) -> DataFrame:
     hist = [tuple(r) for r in groups.groupBy("size").count().collect()]
     plan = groups.sparkSession.createDataFrame(quotas(hist, shares), "size long, new_split string, lo long, hi long")
     at = ranked(groups.select("group_no", F.col("size").cast("long").alias("size")), ["size"], F.xxhash64("group_no"), "at")
-    return at.join(F.broadcast(plan) if len(hist) <= 100_000 else plan, "size").where("at >= lo and at < hi").select("group_no", "size", "new_split")
+    return at.join(plan, "size").where("at >= lo and at < hi").select("group_no", "size", "new_split")
 
 
-def grouped_split(rows: DataFrame, keys: list[str], shares: dict[str, float]) -> DataFrame:
+def grouped_split(rows: DataFrame, keys: list[str], shares: dict[str, float], no: str | None = None) -> DataFrame:
     """`rows` with group_no, size and new_split: all records of a group in one split, the splits near their shares.
 
-    Columns of these names that `rows` brings are replaced. Repeated records count as often as they stand there; no rows give none.
+    Columns of these names that `rows` brings are replaced. Repeated records count as often as they stand there; no rows give none. Groups are put
+    together and assigned in narrow tables of keys; the records themselves stay where they are or move by their key (see `spread_join`).
     """
-    r = related(rows.drop(*({"group_no", "size", "new_split"} - set(keys))), keys)
-    groups = cut(r.groupBy("group_no").agg(F.count("*").alias("size")), "groups")
-    return r.join(assign(groups, shares), "group_no")
+    r = keyed(rows.drop(*({"group_no", "size", "new_split"} - set(keys))), keys, no)
+    by_first = groups_of(r, keys)
+    sizes = cut(by_first.groupBy("group_no").agg(F.sum("_n").alias("size")), "groups")
+    found = cut(by_first.join(assign(sizes, shares), "group_no"), "assigned")
+    return spread_join(r.drop("_keys"), found, "_first", "_n").drop("_first")
 
 
 def torn(rows: DataFrame, keys: list[str], split: str) -> DataFrame:
-    """Records whose group holds more than one value of `split`, with group_no. Groups are counted before anything is shuffled, and
-    the torn ones joined back by broadcast where they are few, so that a group of any share of all rows stays where it is."""
-    r = related(rows, keys)
-    bad = cut(r.groupBy("group_no").agg(F.min(split).alias("lo"), F.max(split).alias("hi")).where("lo <> hi").select("group_no"), "torn")
-    return r.join(mark_small(bad), "group_no", "left_semi")
+    """Records whose group holds more than one value of `split`, with group_no. Nulls of `split` are no value. What a group holds comes from narrow counts
+    by key, so that a group of any share of all rows stays where it is."""
+    r = keyed(rows.drop(*({"group_no"} - set(keys))), keys)
+    by_first = groups_of(r, keys, F.min(split).alias("_lo"), F.max(split).alias("_hi"))
+    bad = by_first.groupBy("group_no").agg(F.min("_lo").alias("lo"), F.max("_hi").alias("hi")).where("lo <> hi").select("group_no")
+    return spread_join(r.drop("_keys"), cut(by_first.join(bad, "group_no", "left_semi").select("_first", "group_no", "_n"), "torn"), "_first", "_n").drop("_first")

@@ -74,17 +74,42 @@ def quota_input(spark):
     return rows, cells, quota.goals(req, dim)
 
 
+@pytest.mark.parametrize("seed", range(60))
+def test_floors_and_shortages_are_paid_by_the_others(seed):
+    rng = random.Random(seed)
+    k = rng.randrange(1, 9)
+    shares = [rng.choice([0, 0.0, rng.random()]) for _ in range(k)]
+    floors, have = [rng.randrange(0, 30) for _ in range(k)], [rng.choice([0, rng.randrange(200)]) for _ in range(k)]
+    size = rng.choice([0, rng.randrange(400)])
+    x = quota.shared_out(size, shares, floors, have)
+    low = [min(f, h) for f, h in zip(floors, have)]
+    assert all(a - 1e-9 <= v <= h + 1e-9 for a, v, h in zip(low, x, have))
+    most = sum(h if s > 0 else a for s, a, h in zip(shares, low, have))
+    assert abs(sum(x) - min(max(size, sum(low)), most)) < 1e-6
+    free = {round(v / s, 6) for s, a, v, h in zip(shares, low, x, have) if s > 0 and a + 1e-6 < v < h - 1e-6}
+    assert len(free) <= 1  # one level for all that are neither at their floor nor used up
+    for s, a, v, h in zip(shares, low, x, have):
+        if free and s > 0 and v <= a + 1e-6 and a < h:
+            assert max(free) * s <= a + 1e-4
+    assert all(abs(v - a) < 1e-9 for s, a, v in zip(shares, low, x) if s == 0)
+
+
 def test_draw_meets_shares_floors_and_reports_shortage(spark):
     rows, cells, goal = quota_input(spark)
     have = Counter({"A-x": "a_x", "b ": "B", "c": "c"}[v] for _, s, v in rows if s == "train" and v)
     got = quota.draw(cells, goal).collect()
     n = Counter((r["request_no"], r["category"]) for r in got)
-    assert abs(n[(1, "a_x")] - 140) <= 1 and abs(n[(1, "B")] - 58) <= 1 and n[(1, "c")] == min(30, have["c"])
-    assert n[(2, "B")] in (min(have["B"], 870) - 1, min(have["B"], 870), min(have["B"], 870) + 1) and (1, "d") not in n and not any(k[0] == 3 for k in n)
+    paid = (200 - min(30, have["c"])) / 99  # by the two above their floor, in the ratio of their shares
+    assert n[(1, "c")] == min(30, have["c"]) and abs(n[(1, "a_x")] - 70 * paid) < 1 and abs(n[(1, "B")] - 29 * paid) < 1
+    assert n[(1, "a_x")] + n[(1, "B")] + n[(1, "c")] == 200
+    assert {c: n[(2, c)] for c in have} == dict(have) and (1, "d") not in n and not any(k[0] == 3 for k in n)  # fewer than 3,000 are there
     assert len({(r["request_no"], r["no"]) for r in got}) == len(got)
-    short = {(r["request_no"], r["category"]) for r in quota.report(cells, goal).where("is_short").collect()}
+    out = {(r["request_no"], r["category"]): r for r in quota.outcome(cells, goal).collect()}
+    short = {k for k, r in out.items() if r["is_short"]}
     assert (2, "a_x") in short and (1, "d") in short and (3, "B") in short and (1, "a_x") not in short
-    assert [r["no"] for r in quota.draw(cells, goal).orderBy("request_no", "no").collect()] == [r["no"] for r in sorted(got, key=lambda r: (r["request_no"], r["no"]))]
+    assert all(r["n_drawn"] == n[k] for k, r in out.items()) and abs(out[(1, "a_x")]["share_drawn"] - n[(1, "a_x")] / 200) < 1e-9
+    assert out[(3, "B")]["share_drawn"] is None
+    assert sorted((r["request_no"], r["no"]) for r in quota.draw(cells, goal).collect()) == sorted((r["request_no"], r["no"]) for r in got)
 
 
 def test_draw_of_nothing(spark):
