@@ -14,14 +14,14 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from ..functions.textnorm import norm, py_norm
-from ..session import cut
+from ..functions.textnorm import norm
+from ..operators.rank import spread_join
+from ..session import cut, mark_small
 
 RUN, SEED = 40, 20
-BLOCK_CHARS = 4_000_000  # of items a task holds at once; more items are taken in several blocks
 MATCH, MISMATCH, GAP = 2, -1, -1
 _B = np.uint64(0x9E3779B97F4A7C15)
-_BITS = 22
+MOST_BITS = 27  # log2 of the bits in the map of the items' n-grams: 16 MB sent to a task, 128 MB there
 
 
 def _codes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -54,44 +54,21 @@ def _pow(n: int) -> np.uint64:
     return np.uint64(pow(int(_B), n, 1 << 64))
 
 
-class Items:
-    """A block of items: their normal texts and n-grams."""
-
-    def __init__(self, ids: list[int], texts: list[str]):
-        self.ids, self.texts = ids, texts
-        codes, begin = _codes(texts)
-        h = _grams(codes)
-        item = np.repeat(np.arange(len(texts)), np.diff(begin))[: len(h)]
-        place = np.arange(len(h)) - begin[item]
-        ok = place + SEED <= np.diff(begin)[item]
-        self.h, self.item, self.place = h[ok], item[ok], place[ok]
-        self.unique = np.unique(self.h)
-        self.table = np.zeros(1 << _BITS, bool)
-        self.table[self.unique >> np.uint64(64 - _BITS)] = True
-
-    def hits(self, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Places of `codes` where an item's n-gram begins, and which n-gram."""
-        h = _grams(codes)
-        at = np.nonzero(self.table[h >> np.uint64(64 - _BITS)])[0]
-        g = np.searchsorted(self.unique, h[at])
-        g[g == len(self.unique)] = 0
-        ok = self.unique[g] == h[at]
-        return at[ok], g[ok]
-
-    def seeds(self, n: np.ndarray) -> np.ndarray:
-        """Which (item, place) rows are seeds: in every stretch of RUN - SEED + 1 places the one whose n-gram is rarest by counts `n`."""
-        rare = n[np.searchsorted(self.unique, self.h)]
-        keep = np.zeros(len(self.h), bool)
-        starts = np.nonzero(np.r_[True, self.item[1:] != self.item[:-1]])[0] if len(self.h) else []
-        for s, e in zip(starts, [*starts[1:], len(self.h)]):
-            last = -1  # the seed chosen last; the next lies at most `step` further
-            step = RUN - SEED + 1
-            while last + step < e - s:
-                window = rare[s + last + 1 : s + last + 1 + step]
-                best = len(window) - 1 - int(np.argmin(window[::-1]))
-                last += 1 + best
-                keep[s + last] = True
-        return keep
+def _bits(h: np.ndarray, log: int) -> tuple[np.ndarray, np.ndarray]:
+    """The two places of each n-gram in a map of 2^log bits."""
+    return (h >> np.uint64(64 - log)).astype(np.int64), ((h >> np.uint64(8)) & np.uint64((1 << log) - 1)).astype(np.int64)
+
+
+def seeds(rare: np.ndarray) -> np.ndarray:
+    """Which of an item's n-grams, in the order of their places, are its seeds: in every stretch of RUN - SEED + 1 places the last of those that the fewest
+    documents hold."""
+    keep = np.zeros(len(rare), bool)
+    last, step = -1, RUN - SEED + 1  # the seed chosen last; the next lies at most `step` further
+    while last + step < len(rare):
+        window = rare[last + 1 : last + 1 + step]
+        last += len(window) - int(np.argmin(window[::-1]))
+        keep[last] = True
+    return keep
 
 
 def align(a: np.ndarray, b: np.ndarray) -> tuple[int, int, int, int]:
@@ -113,58 +90,81 @@ def align(a: np.ndarray, b: np.ndarray) -> tuple[int, int, int, int]:
     return *best, longest
 
 
-def _scan(items: Items):
+def _item_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        for i, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+            h = _grams(_codes([t])[0])
+            yield pa.RecordBatch.from_pydict({"g": h.view(np.int64), "item_id": np.full(len(h), i, np.int64), "place": np.arange(len(h), dtype=np.int32), "n_chars": np.full(len(h), len(t), np.int32)})
+
+
+def _item_bits(log: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = np.zeros(1 << log, bool)
+        for b in batches:
+            for at in _bits(b.column(0).to_numpy().view(np.uint64), log):
+                table[at] = True
+        words = np.packbits(table).view(np.int64)
+        at = np.nonzero(words)[0]
+        yield pa.RecordBatch.from_pydict({"word": at, "bits": words[at]})
+
+    return run
+
+
+def _scan(words: np.ndarray, log: int):
+    """Documents with the n-grams whose bits are set, and where each begins; the bits of n-grams no item has are set by chance now and then."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = np.unpackbits(words.view(np.uint8)).astype(bool)
         for batch in batches:
             ids, texts = batch.column(0), batch.column(1).to_pylist()
             codes, begin = _codes(texts)
-            at, g = items.hits(codes)
+            h = _grams(codes)
+            one, two = _bits(h, log)
+            at = np.nonzero(table[one])[0]
+            at = at[table[two[at]]]
             doc = np.searchsorted(begin, at, "right") - 1
             inside = at + SEED <= begin[doc + 1]
-            doc, g = doc[inside], g[inside]
+            at, doc = at[inside], doc[inside]
             if not len(doc):
                 continue
             docs, first = np.unique(doc, return_index=True)
             yield pa.RecordBatch.from_pydict({
                 "id": ids.take(pa.array(docs)), "text": pa.array([texts[d] for d in docs], pa.string()),
-                "grams": pa.array([np.unique(x) for x in np.split(g, first[1:])], pa.list_(pa.int64())),
+                "grams": pa.array(np.split(h[at].view(np.int64), first[1:]), pa.list_(pa.int64())),
+                "places": pa.array(np.split((at - begin[doc]).astype(np.int32), first[1:]), pa.list_(pa.int32())),
             })
 
     return run
 
 
-def _score(items: Items, seed: np.ndarray, least: int):
-    by_gram: dict[int, list[tuple[int, int]]] = {}
-    for k, i, p in zip(np.searchsorted(items.unique, items.h[seed]).tolist(), items.item[seed].tolist(), items.place[seed].tolist()):
-        by_gram.setdefault(k, []).append((i, p))
-    codes = [_codes([t])[0] for t in items.texts]
-
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for f in frames:
-            out = []
-            for doc_id, text in zip(f["id"], f["text"]):
-                d = _codes([text])[0]
-                at, g = items.hits(d)
-                places: dict[int, list[int]] = {}
-                for x, k in zip(at.tolist(), g.tolist()):
-                    for i, p in by_gram.get(k, ()):
-                        places.setdefault(i, []).append(x - p)  # where the item would begin
-                for i, begins in places.items():
-                    a, best, longest = codes[i], 0, 0  # the best window need not be the one with the longest run
-                    reach, begins = 2 * len(codes[i]), sorted(set(begins))
-                    lo = hi = None
-                    for x in [*begins, None]:  # windows around the places, joined where they overlap
-                        if lo is not None and (x is None or x - len(a) > hi):
-                            score, _, _, common = align(a, d[max(0, lo) : hi])
-                            best, longest = max(best, score), max(longest, common)
-                            lo = None
-                        if x is not None:
-                            lo, hi = x - len(a) if lo is None else lo, x + reach
-                    if best >= least:
-                        out.append((doc_id, items.ids[i], best, best / (MATCH * len(a)), longest))
-            yield pd.DataFrame(out, columns=["id", "item_id", "score", "share", "run"])
+def _seeds(g: pd.DataFrame) -> pd.DataFrame:
+    g = g.sort_values("place").drop_duplicates("place")
+    return g[seeds(g["n"].to_numpy())]
 
-    return run
+
+def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The parts of a document around the places where an item would begin, as long as the alignment may reach, joined where they overlap."""
+    for b in batches:
+        out: list[tuple] = []
+        for doc_id, text, items in zip(*(b.column(i).to_pylist() for i in range(3))):
+            for item in items:
+                n, lo, hi = item["n_chars"], None, None
+                for x in [*sorted(set(item["begins"])), None]:
+                    if lo is not None and (x is None or x - n > hi):
+                        out.append((doc_id, item["item_id"], text[max(0, lo) : hi]))
+                        lo = None
+                    if x is not None:
+                        lo, hi = x - n if lo is None else lo, x + 2 * n
+        yield pa.RecordBatch.from_pydict({"id": pa.array([o[0] for o in out], pa.int64()), "item_id": pa.array([o[1] for o in out], pa.int64()), "part": pa.array([o[2] for o in out], pa.string())})
+
+
+def _aligned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        got = [(align(codes := _codes([item])[0], _codes([part])[0]), len(codes)) for item, part in zip(b.column("item").to_pylist(), b.column("part").to_pylist())]
+        yield pa.RecordBatch.from_pydict({
+            "id": b.column("id"), "item_id": b.column("item_id"), "score": pa.array([g[0] for g, _ in got], pa.int64()),
+            "share": pa.array([g[0] / (MATCH * n) for g, n in got], pa.float64()), "run": pa.array([g[3] for g, _ in got], pa.int64()),
+        })
 
 
 def leaks(docs: DataFrame, items: DataFrame, least_score: int = MATCH * RUN) -> DataFrame:
@@ -173,33 +173,35 @@ def leaks(docs: DataFrame, items: DataFrame, least_score: int = MATCH * RUN) ->
     `docs`: id, text; `items`: item_id, text. `score` is the best local alignment of the item with the document, `share` that of the item's own
     score, `run` the longest common run, which may lie elsewhere in the document. Every pair with a common run of RUN characters is given; edited copies are if a SEED of
     them is left and the alignment reaches `least_score`. Null and short texts have no passages; repeated rows give one row; no rows give none.
+
+    Both sides go through the same normal form, and each text once. The items' n-grams are a table; a map of their bits, of a size that follows their number up to
+    2^MOST_BITS, tells the documents' scan which n-grams to keep, and the table itself decides in the join. Seeds that many documents hold are
+    joined without moving those documents' rows to one task. Only the windows around seeds are aligned.
     """
+    spark = docs.sparkSession
+    item = cut(items.select(F.col("item_id").cast("long").alias("item_id"), norm(F.col("text")).alias("item")).where(F.length("item") >= SEED).distinct(), "items")
+    grams = cut(item.mapInArrow(_item_grams, "g long, item_id long, place int, n_chars int"), "grams")
+    n = grams.count()
+    if not n:
+        return spark.createDataFrame([], "id long, item_id long, score long, share double, run long")
+    log = min(MOST_BITS, max(16, (64 * n - 1).bit_length()))
+    words = np.zeros((1 << log) // 64, np.int64)
+    for r in grams.select("g").mapInArrow(_item_bits(log), "word long, bits long").groupBy("word").agg(F.bit_or("bits")).toArrow().to_batches():
+        words[r.column(0).to_numpy()] = r.column(1).to_numpy()
     texts = docs.select(F.col("id").cast("long").alias("id"), norm(F.col("text")).alias("text")).where(F.length("text") >= SEED)
-    out, block, held = None, [], 0
-
-    def flush() -> DataFrame:
-        it = Items([i for i, _ in block], [t for _, t in block])
-        found = cut(texts.mapInArrow(_scan(it), "id long, text string, grams array<long>"), "hits")
-        n = np.zeros(max(1, len(it.unique)), np.int64)
-        for r in found.select(F.explode("grams").alias("g")).groupBy("g").count().toArrow().to_batches():
-            n[r.column(0).to_numpy()] = r.column(1).to_numpy()
-        seed = it.seeds(n) if len(it.h) else np.zeros(0, bool)
-        parts = max(8, found.sparkSession.sparkContext.defaultParallelism, found.count() // 2_000)
-        rare = found.repartition(parts).select("id", "text")
-        return rare.mapInPandas(_score(it, seed, least_score), "id long, item_id long, score long, share double, run long")
-
-    for r in items.select("item_id", "text").toLocalIterator():
-        t = py_norm(r["text"])
-        if len(t) < SEED:
-            continue
-        block.append((r["item_id"], t))
-        held += len(t)
-        if held >= BLOCK_CHARS:
-            part = flush()
-            out, block, held = part if out is None else out.unionAll(part), [], 0
-    if block:
-        part = flush()
-        out = part if out is None else out.unionAll(part)
-    if out is None:
-        return docs.sparkSession.createDataFrame([], "id long, item_id long, score long, share double, run long")
-    return out.groupBy("id", "item_id").agg(F.max("score").alias("score"), F.max("share").alias("share"), F.max("run").alias("run"))
+    hits = texts.mapInArrow(_scan(words, log), "id long, text string, grams array<long>, places array<int>")
+    hits = cut(hits.withColumn("row", F.monotonically_increasing_id()), "hits")
+    n_docs = cut(hits.select(F.explode(F.array_distinct("grams")).alias("g")).groupBy("g").agg(F.count("*").alias("n")), "n_docs")
+    told = grams.join(n_docs, "g", "left").withColumn("n", F.coalesce("n", F.lit(0)))
+    seed = told.groupBy("item_id").applyInPandas(_seeds, "g long, item_id long, place int, n_chars int, n long").where("n > 0")
+    by_gram = cut(seed.groupBy("g").agg(F.collect_list(F.struct("item_id", "place", "n_chars")).alias("of"), F.first("n").alias("n")), "seeds")
+    places = hits.select("row", F.explode(F.arrays_zip("grams", "places")).alias("x")).select("row", F.col("x.grams").alias("g"), F.col("x.places").alias("at"))
+    met = spread_join(places, by_gram, "g", "n").select("row", "at", F.explode("of").alias("o"))
+    begins = met.groupBy("row", F.col("o.item_id").alias("item_id")).agg(F.first("o.n_chars").alias("n_chars"), F.collect_set(F.col("at") - F.col("o.place")).alias("begins"))
+    pairs = begins.groupBy("row").agg(F.collect_list(F.struct("item_id", "n_chars", "begins")).alias("items"))
+    parts = cut(hits.select("row", "id", "text").join(pairs, "row").select("id", "text", "items").mapInArrow(_windows, "id long, item_id long, part string"), "parts")
+    tasks = max(8, spark.sparkContext.defaultParallelism, parts.count() // 2_000)
+    both = parts.repartition(tasks).join(mark_small(item, 100_000), "item_id").select("id", "item_id", "part", "item")
+    scored = both.mapInArrow(_aligned, "id long, item_id long, score long, share double, run long")
+    best = scored.groupBy("id", "item_id").agg(F.max("score").alias("score"), F.max("share").alias("share"), F.max("run").alias("run"))
+    return best.where(F.col("score") >= least_score)

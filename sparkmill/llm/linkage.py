@@ -119,7 +119,7 @@ class LinkageStore:
 
     def _commit(self, name: str | None) -> None:
         row = {"buckets": self.buckets, "patterns": [[*k, n] for k, n in self.patterns.items()], "weights": self.weights, "name": name}
-        self.spark.createDataFrame([(json.dumps(row),)], "value string").coalesce(1).write.mode("overwrite").text(f"{self.path}/rounds/round={self.round}")
+        self.spark.range(1, numPartitions=1).select(F.lit(json.dumps(row)).alias("value")).write.mode("overwrite").text(f"{self.path}/rounds/round={self.round}")
         if name is not None:
             self.names[name] = self.round
         self.round += 1
