@@ -6,7 +6,7 @@ from pyspark.sql import Window as W, functions as F
 
 from ..functions import text as X
 from ..operators import chat, coverage, dedup, dewey, drift, planner, pool, rank, rules, runs, sanitize, score
-from ..session import new_path, table
+from ..session import cut, new_path, table
 from ..streaming import ingest
 from .registry import AREA, BASE, COMMAND, ORACLE_SQL, QUERIES, query
 
@@ -722,7 +722,8 @@ def _nodes(spark, sf, lists, only=None):
 @query()
 def p3_found(spark, sf):
     n = _nodes(spark, sf, [ACTION, ITEM]).where(F.col("path").isin(ACTION, ITEM))
-    n = n.select("key", "path", "label", "parent_label", "places", F.col("fields")["unitId"].alias("unit_id"), F.col("fields")["type"].alias("item_type")).dropDuplicates(["key", "path", "label"])
+    n = n.select("key", "path", "label", "parent_label", "places", F.col("fields")["unitId"].alias("unit_id"), F.col("fields")["type"].alias("item_type"))
+    n = cut(n, "nodes").dropDuplicates(["key", "path", "label"])  # read twice, parsed once
     up = n.where(F.col("path") == ACTION).select("key", F.col("label").alias("parent_label"), "unit_id")
     items = n.where(F.col("path") == ITEM).drop("unit_id").join(up, ["key", "parent_label"])
     at = lambda i: F.col("places")[i].alias(("sample_pos", "action_pos", "seq_pos")[i])
@@ -764,7 +765,19 @@ def p6_found(spark, sf):
 @query()
 def p6_unified(spark, sf):
     lines = table(spark, sf, "drift_lines")
-    return drift.unified(lines, drift.changes(lines)).withColumn("fields", F.to_json("fields"))
+    return drift.typed(drift.unified(lines, drift.changes(lines)))
+
+
+_VALID = "(SELECT DISTINCT coalesce(feed, '') AS feed, CAST(file_no AS BIGINT) AS file_no, CAST(line_no AS BIGINT) AS line_no FROM drift_lines WHERE json_valid(raw) AND json_type(raw) = 'OBJECT')"
+
+
+@query(f"SELECT feed, file_no, count(*) AS n_lines, 0 AS n_lost FROM {_VALID} GROUP BY 1, 2")
+def p6_lines(spark, sf):
+    """Lines of each file in the unified table, and how many of their values are not there under any name."""
+    lines = table(spark, sf, "drift_lines")
+    u = drift.unified(lines, drift.changes(lines))
+    kept = u.select("feed", "file_no", "line_no", F.size("fields").alias("n_kept"), F.size("kinds").alias("n_kinds"))
+    return kept.groupBy("feed", "file_no").agg(F.count("*").alias("n_lines"), F.count_if(F.col("n_kept") != F.col("n_kinds")).alias("n_lost"))
 
 
 from . import checks, files  # noqa: E402, F401  (they register their queries)

@@ -7,7 +7,7 @@ import shutil
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 _LOCAL_WORK: str | None = None
 _WRITTEN: dict[str, SparkSession] = {}
@@ -94,6 +94,8 @@ def drop_cut(df: DataFrame) -> None:
     _forget(getattr(df, "_cut_path", ""))
 
 
-def mark_small(df: DataFrame, most: int = 500_000) -> DataFrame:
-    """A written narrow table, marked for broadcast if its counted rows are few enough; else as it is, for a shuffled join."""
-    return F.broadcast(df) if df.count() <= most else df
+def mark_small(df: DataFrame, most: int = 500_000, weight: Column | None = None) -> DataFrame:
+    """A written narrow table, marked for broadcast if it has few enough rows; else as it is, for a shuffled join. Where rows may be long, `weight` says how
+    many short ones each stands for."""
+    n = df.count() if weight is None else df.agg(F.coalesce(F.sum(weight), F.lit(0))).first()[0]
+    return F.broadcast(df) if n <= most else df

@@ -1,4 +1,5 @@
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -140,3 +141,36 @@ def test_no_lines(spark):
 )
 def test_matching_is_of_largest_weight(pairs, want):
     assert set(drift.matching(pairs)) == want
+
+
+@pytest.mark.parametrize("size", [4, drift.SKETCH])
+def test_sketches_close_no_pair_that_is_a_rename(spark, size, monkeypatch):
+    monkeypatch.setattr(drift, "SKETCH", size)
+    rng = random.Random(size)
+    files, want = {}, set()
+    for f in range(12):
+        old = [f"v{rng.randrange(60)}" for _ in range(60)]
+        share = rng.choice([0, 0.3, 0.45, 0.5, 0.6, 1])
+        new = [rng.choice(old) if rng.random() < share else f"w{rng.randrange(60)}" for _ in range(rng.choice([3, 40]))]
+        files[(f"f{f}", 0)] = [{"o": {"a": x}} for x in old]
+        files[(f"f{f}", 1)] = [{"o": {"b": x}} for x in new]
+        if len(set(new) & set(old)) >= 0.5 * len(set(new)):
+            want.add(f"f{f}")
+    got = drift.changes(lines(spark, files)).where("change = 'renamed'").collect()
+    assert {r["feed"] for r in got} == want and want
+
+
+def test_a_table_of_typed_columns(spark):
+    files = {("f", 0): [{"a": 1, "b": {"c": True}, "b_c": "x", "l": ["p", 2], "m": 1}, {"a": 2.5, "m": "two"}, "no", {}]}
+    df = lines(spark, files)
+    out = drift.typed(drift.unified(df, drift.changes(df)))
+    assert dict(out.dtypes) == {"feed": "string", "file_no": "bigint", "line_no": "bigint", "a": "double", "b_c": "boolean", "b_c_2": "string", "l": "array<string>", "m": "string"}
+    got = {r["line_no"]: tuple(r)[3:] for r in out.collect()}
+    assert got == {0: (1.0, True, "x", ["p", "2"], "1"), 1: (2.5, None, None, None, "two"), 3: (None,) * 5}
+    assert drift.typed(drift.unified(df.where("false"), drift.changes(df.where("false")))).count() == 0
+
+
+def test_a_line_of_two_texts_keeps_the_least(spark):
+    rows = [("f", 0, "f_0", 0, r) for r in ('{"k":"b"}', '{"k":"a"}', "broken", '{"k":"a"}')]
+    df = spark.createDataFrame(rows, "feed string, file_no int, file_name string, line_no int, raw string")
+    assert [r["fields"] for r in drift.unified(df, drift.changes(df)).collect()] == [{"k": "a"}]
