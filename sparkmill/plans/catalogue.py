@@ -719,7 +719,26 @@ def _nodes(spark, sf, lists, only=None):
     return dewey.label(table(spark, sf, "raw_generations"), "record_no", "raw", lists, only=only)
 
 
-@query()
+def _open_sql(x: str) -> str:
+    return f"CASE WHEN json_type({x}) = 'VARCHAR' AND json_valid({x}->>'$') THEN json({x}->>'$') ELSE {x} END"
+
+
+def _each_sql(x: str) -> str:
+    return f"CASE json_type({x}) WHEN 'ARRAY' THEN from_json({x}, '[\"JSON\"]') WHEN 'OBJECT' THEN [{x}] ELSE CAST([] AS JSON[]) END"
+
+
+@query(f"""
+WITH raws AS (SELECT DISTINCT record_no, json(raw) AS j FROM raw_generations WHERE json_valid(raw)),
+root AS (SELECT record_no, CASE WHEN json_type(j) = 'OBJECT' AND json_type(j->'$.samples') IS NOT NULL THEN {_open_sql("(j->'$.samples')")} ELSE j END AS v FROM raws),
+each AS (SELECT record_no, {_each_sql("v")} AS l FROM root), rec AS (SELECT record_no, generate_subscripts(l, 1) - 1 AS sample_pos, unnest(l) AS r FROM each),
+ropen AS (SELECT record_no, sample_pos, {_open_sql("r")} AS r FROM rec), o AS (SELECT record_no, sample_pos, {_open_sql("(r->'$.output')")} AS o FROM ropen),
+al AS (SELECT record_no, sample_pos, {_open_sql("(o->'$.action')")} AS a FROM o), ae AS (SELECT record_no, sample_pos, {_each_sql("a")} AS l FROM al),
+act AS (SELECT record_no, sample_pos, generate_subscripts(l, 1) - 1 AS action_pos, unnest(l) AS a FROM ae), ao AS (SELECT record_no, sample_pos, action_pos, {_open_sql("a")} AS a FROM act),
+sl AS (SELECT record_no, sample_pos, action_pos, a->>'$.unitId' AS unit_id, {_open_sql("(a->'$.sequence')")} AS s FROM ao WHERE json_type(a) = 'OBJECT'),
+se AS (SELECT record_no, sample_pos, action_pos, unit_id, {_each_sql("s")} AS l FROM sl),
+it AS (SELECT record_no, sample_pos, action_pos, unit_id, generate_subscripts(l, 1) - 1 AS seq_pos, unnest(l) AS i FROM se),
+io AS (SELECT record_no, sample_pos, action_pos, unit_id, seq_pos, {_open_sql("i")} AS i FROM it)
+SELECT record_no, sample_pos, action_pos, seq_pos, unit_id, i->>'$.type' AS item_type FROM io WHERE json_type(i) = 'OBJECT'""")
 def p3_found(spark, sf):
     n = _nodes(spark, sf, [ACTION, ITEM]).where(F.col("path").isin(ACTION, ITEM))
     n = n.select("key", "path", "label", "parent_label", "places", F.col("fields")["unitId"].alias("unit_id"), F.col("fields")["type"].alias("item_type"))
