@@ -10,13 +10,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..session import cut
+from . import sizeaware
 
 SLOTS = [f"{side}_{n:02d}" for side in "AE" for n in range(1, 7)]
 NEED, GROUP = 9, 3  # 12 units in 4 groups of 3: with at most 3 that differ, one whole group agrees
 TOL, CELL = 0.025 + 1e-9, 0.2  # the tolerance, with what decimal fractions lose as binary ones; cells eight tolerances wide
 NO_RATIO = -(2**62)  # the cell of a missing ratio
 BROADCAST_IDS = 500_000  # ids; 16 bytes each
-HEAVY = 64
 
 
 def with_units(df: DataFrame, area: Column) -> DataFrame:
@@ -101,40 +101,40 @@ def small(ids: DataFrame, most: int = BROADCAST_IDS) -> DataFrame:
     return F.broadcast(ids) if ids.count() <= most else ids
 
 
-def by_text(a: DataFrame, b: DataFrame, rows_a: DataFrame, rows_b: DataFrame, texts: list[str]) -> DataFrame:
-    """(x, y) of the lists of heavy keys: `a` (x, k) and `b` (y, k) under one key are only paired if their texts are like.
+def boundary(mean_chars: float | None) -> int:
+    """Length n of a list of records with one block key above which the n*n/2 comparisons of its pairs cost more than listing each again under the keys of its text,
+    0.4 of its pieces and one. The mean is that of the text column joined by."""
+    return max(8, round(2 * sizeaware.ROW_COST * (0.4 * (mean_chars or 0) + 1)))
 
-    The texts' join (see overlap) is over distinct texts and orders pieces by rarity, so records that share units by the thousand
-    but differ in what they say are never paired off. Of several texts that all must be like, the one with the most values is taken.
-    """
-    from .overlap import like_pairs, text_id
 
-    ra, rb = rows_a.join(a.select(F.col("x").alias("eid")).distinct(), "eid", "left_semi"), rows_b.join(b.select(F.col("y").alias("eid")).distinct(), "eid", "left_semi")
-    n = ra.agg(*[F.approx_count_distinct(t).alias(t) for t in texts]).first()
-    text = max(texts, key=lambda t: n[t])
-    ra, rb = [cut(r.select("eid", F.col(text).alias("text"), *[i.alias(c) for c, i in text_id(F.col(text)).items()]).dropDuplicates(["eid"]), "texts") for r in (ra, rb)]
-    both = ra.select("tid", "text", F.lit(2).alias("m")).unionAll(rb.select("tid", "text", F.lit(1).alias("m")))
-    like = cut(like_pairs(cut(both.groupBy("tid", "text").agg(F.bit_or("m").alias("mask")), "texts")), "like")
-    left = b.join(rb.select(F.col("eid").alias("y"), F.col("tid").alias("x_"), F.col("tid2").alias("x2")), "y").join(like.select(F.col("x").alias("x_"), "x2", F.col("y").alias("tid"), F.col("y2").alias("tid2")), ["x_", "x2"])
-    right = a.join(ra.select(F.col("eid").alias("x"), "tid", "tid2"), "x")
-    return left.join(right, ["k", "tid", "tid2"]).select("x", "y")
+def text_to_join(rows: DataFrame, texts: list[str]) -> tuple[str, int]:
+    """Of several texts that all must be like, the one with the most values, and the boundary of its lists."""
+    got = rows.agg(*[F.approx_count_distinct(t).alias(f"n_{t}") for t in texts], *[F.avg(F.length(t)).alias(f"l_{t}") for t in texts]).first()
+    text = max(texts, key=lambda t: got[f"n_{t}"])
+    return text, boundary(got[f"l_{text}"])
+
 
+def probed(ik: DataFrame, pk: DataFrame, rows_a: DataFrame, rows_b: DataFrame, text: str, heavy: int) -> DataFrame:
+    """Distinct (x, y) of known (x, k) and new (y, k) keys that meet.
 
-def probed(ik: DataFrame, pk: DataFrame, rows_a: DataFrame, rows_b: DataFrame, texts: list[str], ordered: bool = False, heavy: int = HEAVY) -> DataFrame:
-    """Distinct (x, y) of known (x, k) and new (y, k) keys that meet; with `ordered` only x < y. Lists of more than `heavy` known records go by text."""
+    Lists of at most `heavy` known records are paired off. In longer ones the records, as sets of the pieces of their texts, go through the
+    size-aware join, so that records which share units by the thousand but differ in what they say are never paired.
+    """
     hot = cut(ik.groupBy("k").agg(F.count("*").alias("n")).where(F.col("n") > heavy).select("k"), "hot")
     n_hot = hot.count()
-    x_lt_y = F.col("x") < F.col("y") if ordered else F.lit(True)
     if not n_hot:
-        return ik.join(pk, "k").where(x_lt_y).select("x", "y").distinct()
+        return ik.join(pk, "k").select("x", "y").distinct()
     mark = F.broadcast(hot) if n_hot <= BROADCAST_IDS else hot
     light = ik.join(mark, "k", "left_anti").join(pk.join(mark, "k", "left_anti"), "k").select("x", "y")
-    dense = by_text(ik.join(mark, "k", "left_semi"), pk.join(mark, "k", "left_semi"), rows_a, rows_b, texts)
-    return light.unionAll(dense).where(x_lt_y).distinct()
+
+    def sets(keys: DataFrame, eid: str, rows: DataFrame) -> DataFrame:
+        held = keys.join(mark, "k", "left_semi").select("k", F.col(eid).alias("eid"))
+        return cut(held.join(rows.select("eid", F.col(text).alias("text")).dropDuplicates(["eid"]), "eid"), "sets")
+
+    dense = sizeaware.size_aware_pairs(sets(ik, "x", rows_a), sets(pk, "y", rows_b))
+    return light.unionAll(dense).distinct()
 
 
-def candidates(known: DataFrame, new: DataFrame, texts: list[str], ordered: bool = False, heavy: int = HEAVY) -> DataFrame:
-    """Distinct (x, y): eids of `known` and `new` that share a block key, and, under a heavy key, have one like text of `texts` at least."""
-    ik = known.select(F.col("eid").alias("x"), F.explode(block_keys(F.col("units"), False)).alias("k"))
-    pk = new.select(F.col("eid").alias("y"), F.explode(block_keys(F.col("units"), True)).alias("k"))
-    return probed(ik, pk, known, new, texts, ordered, heavy)
+def keys_of(rows: DataFrame, name: str, probe: bool) -> DataFrame:
+    """(name, k): the block keys of rows (eid, units)."""
+    return rows.select(F.col("eid").alias(name), F.explode(block_keys(F.col("units"), probe)).alias("k"))

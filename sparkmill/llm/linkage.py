@@ -152,7 +152,7 @@ class LinkageStore:
         self.read = {}
         e = self._encode(df)
         new = cut(battle.one_of_each(e), "new")
-        pk = cut(new.select(F.col("eid").alias("y"), F.explode(battle.block_keys(F.col("units"), True)).alias("k")), "probes")
+        pk = cut(battle.keys_of(new, "y", True), "probes")
         asked = cut(pk.select("k").distinct(), "asked")
         touched = cut(self._table("keys", f"k long, eid {EID}", asked).select("k", F.col("eid").alias("x")).distinct().join(battle.small(asked), "k", "left_semi"), "touched")
         known = touched.select(F.col("x").alias("eid")).distinct()
@@ -161,7 +161,8 @@ class LinkageStore:
         lists = cut(touched.unionByName(keys.select("k", F.col("eid").alias("x"))), "lists")
         partners = cut(touched.select("x").distinct(), "partners")
         held = self._table("contents", f"eid {EID}, id string, units {UNITS}, text string", partners, "x").select(*CONTENTS).unionByName(firsts.select(*CONTENTS))
-        pairs = cut(battle.probed(lists, pk, held, new, ["text"]), "pairs")
+        text, heavy = battle.text_to_join(new, ["text"])
+        pairs = cut(battle.probed(lists, pk, held, new, text, heavy), "pairs")
         ids = cut(pairs.select(F.col("x").alias("eid")).unionAll(pairs.select("y")).distinct(), "ids")
         body = cut(held.join(battle.small(ids), "eid", "left_semi").dropDuplicates(["eid"]), "need")
         side = lambda s: body.select(F.col("eid").alias(s), F.col("id").alias(f"id_{s}"), F.col("units").alias(f"u_{s}"), F.col("text").alias(f"t_{s}"))

@@ -1,9 +1,8 @@
-"""Groups of near-duplicate records: a size-aware heavy-light join over fixed-size subsets of a record's units.
+"""Groups of near-duplicate records: block keys of units, then a size-aware heavy-light join over the sets of pieces of a text.
 
-A record is the set of its 12 units; two records can only be linked if 9 agree. With the slots in four fixed subsets of three
-at least one subset then agrees whole, so every record is listed under its subsets (light side). A subset's list is heavy
-where pairing it off would cost more than listing its records again under the pieces of their texts; those lists are
-scanned by inverted piece lists instead. The boundary follows from the measured text length, see `boundary`.
+A record has 12 units, of which two linked records agree in 9, so with the slots in four fixed groups of three at least one group agrees whole: records are
+listed under the keys of their groups. Short lists are paired off. Lists above a boundary of cost are joined by the records' texts as sets of
+pieces (see sizeaware): subsets of two pieces for small sets, inverted lists for large ones. Every candidate is compared exactly.
 """
 
 from __future__ import annotations
@@ -16,12 +15,6 @@ from ..session import cut
 from . import battle
 
 LIKE = 0.6
-ROW_COST = 2.0  # of listing a record under one piece, in comparisons of a pair
-
-
-def boundary(mean_chars: float | None) -> int:
-    """List length n above which n*n/2 comparisons cost more than n listings under each of the 0.4 n_pieces + 1 prefix pieces."""
-    return max(8, round(2 * ROW_COST * (0.4 * (mean_chars or 0) + 1)))
 
 
 def encode(df: DataFrame, no: Column, area: Column, first: Column, second: Column) -> DataFrame:
@@ -32,6 +25,12 @@ def encode(df: DataFrame, no: Column, area: Column, first: Column, second: Colum
     return e.where(told).withColumn("eid", battle.identity(F.col("units"), F.col("first"), F.col("second")))
 
 
+def _candidates(ids: DataFrame, text: str, heavy: int) -> DataFrame:
+    """Distinct (x, y), x < y, of records that may be linked. Keys hold cells of ratios; the records that probe a list from the cells beside it are a side of their own."""
+    ik, pk = battle.keys_of(ids, "x", False), battle.keys_of(ids, "y", True)
+    return battle.probed(ik, pk, ids, ids, text, heavy).where("x < y")
+
+
 def links(e: DataFrame) -> DataFrame:
     """(a, b): record numbers, a < b. Every linked pair of records that differ, by the least number of their copies, and every copy with that number."""
     e = cut(e, "records")
@@ -39,9 +38,9 @@ def links(e: DataFrame) -> DataFrame:
     copies = cut(e.select("eid", "no").join(more, "eid").where("no > least").select(F.col("least").alias("a"), F.col("no").alias("b")), "copies")
     rest = copies.select(F.col("b").alias("no"))
     firsts = e.join(F.broadcast(rest) if copies.count() <= battle.BROADCAST_IDS else rest, "no", "left_anti")
-    mean = e.agg(F.avg(F.length("first"))).first()[0]
     ids = firsts.select(F.col("no").alias("eid"), "units", "first", "second")
-    pairs = cut(battle.candidates(ids, ids, ["second", "first"], ordered=True, heavy=boundary(mean)), "pairs")
+    text, heavy = battle.text_to_join(ids, ["second", "first"])
+    pairs = cut(_candidates(ids, text, heavy), "pairs")
     used = cut(pairs.select(F.col("x").alias("no")).unionAll(pairs.select("y")).distinct(), "ids")
     need = cut(e.join(battle.small(used), "no", "left_semi").select("no", "units", "first", "second"), "need")
     side = lambda s: need.select(F.col("no").alias(s), F.col("units").alias(f"u_{s}"), F.col("first").alias(f"f_{s}"), F.col("second").alias(f"s_{s}"))

@@ -82,7 +82,7 @@ def frame(spark, rows, rng, batches=None):
 @pytest.mark.parametrize("heavy", [None, 1])
 def test_groups_against_all_pairs(spark, heavy, monkeypatch):
     if heavy:
-        monkeypatch.setattr(neargroups, "boundary", lambda mean: heavy)
+        monkeypatch.setattr(battle, "boundary", lambda mean: heavy)
     rows, rng = samples(5, 90)
     up = {i: i for i, *_ in rows}
 
@@ -119,9 +119,9 @@ def links_of(rows, batches):
     return out
 
 
-@pytest.mark.parametrize("heavy", [battle.HEAVY, 1])
+@pytest.mark.parametrize("heavy", [64, 1])
 def test_batches_one_by_one_and_at_once(spark, heavy, monkeypatch):
-    monkeypatch.setattr(battle.probed, "__defaults__", (False, heavy))
+    monkeypatch.setattr(battle, "boundary", lambda mean: heavy)
     rows, rng = samples(9, 80)
     batches = {i: None if i < 40 else (i - 40) // 20 for i, *_ in rows}
     want = links_of(rows, batches)
