@@ -4,7 +4,7 @@ A text is cut into windows of about WINDOW characters. Each window has six measu
 repetition; entropy; the share of the commonest word; the share of function words and endings; the density of list
 separators. Per language, the centre and spread of ordinary windows are medians and scaled median deviations first, then means
 and covariance of the windows within three of those (one reweighting step). A window is spam if its squared distance
-is above FAR and it lies towards spam: the cosine between its clipped deviations and the signs of spam is above TOWARDS. A
+is above what TAIL of normal windows exceed and it lies towards spam: the cosine between its clipped deviations and the signs of spam is above TOWARDS. A
 document is, if such windows hold more than half of its characters.
 '''
 
@@ -23,11 +23,25 @@ from pyspark.sql import DataFrame, functions as F
 
 from ..session import cut
 
-WINDOW, FAR, TOWARDS, CLIP = 240, 60.0, 0.2, 8.0
-LEAST_WINDOWS = 200  # a language with fewer is measured against all windows
+WINDOW, TOWARDS, CLIP = 240, 0.2, 8.0
+TAIL = 1e-10  # share of ordinary windows that may lie as far out as spam, were their measures normal
+PRIOR = 200  # windows of all languages that each language's centre and spread are mixed with
 NAMES = ["links", "repeats", "entropy", "top", "function", "lists"]
 SIGNS = np.array([1, 1, -1, 1, -1, 1.0])
-LEAST_SPREAD = np.array([0.025, 0.04, 0.025, 0.03, 0.04, 0.01])
+LEAST_SPREAD = np.array([0.025, 0.04, 0.025, 0.03, 0.04, 0.01])  # about what one word or two, or two marks, change in a window of some 40 words
+
+
+def far(tail: float = TAIL) -> float:
+    """The squared distance that a share `tail` of normal windows exceeds: the chi-squared quantile of the six measures, by halving. (Its upper tail for
+    an even number of measures is a finite sum.)"""
+    half = len(NAMES) // 2
+    over = lambda x: math.exp(-x / 2) * sum((x / 2) ** k / math.factorial(k) for k in range(half))
+    low, high = 0.0, 1e4
+    for _ in range(200):
+        mid = (low + high) / 2
+        low, high = (mid, high) if over(mid) > tail else (low, mid)
+    return high
+
 
 # English function words, Korean endings and particles, marks of links and goods.
 ENGLISH = frozenset(
@@ -117,17 +131,26 @@ def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _spread(w: DataFrame) -> dict[str, tuple[np.ndarray, np.ndarray]]:
-    """Centre and inverse covariance of each language's ordinary windows; "*" is of all. Languages are few: their names are two letters."""
+def _mixed(own: np.ndarray, n: int, all_: np.ndarray) -> np.ndarray:
+    """A language's figures from n windows, mixed with those of PRIOR windows of all languages, so that a rare language is measured nearly as all are."""
+    w = n / (n + PRIOR)
+    return w * own + (1 - w) * all_
+
+
+def _spread(w: DataFrame) -> dict[str, tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Centre, inverse covariance and deviations of each language's ordinary windows; "*" is of all. Languages are few: their names are two letters."""
     both = w.unionAll(w.withColumn("lang", F.lit("*")))
-    mid = both.groupBy("lang").agg(F.count("*").alias("n"), *[F.percentile_approx(c, 0.5, 10_000).alias(c) for c in NAMES]).where(f"n >= {LEAST_WINDOWS} or lang = '*'")
-    mid = {r["lang"]: np.array([r[c] for c in NAMES], float) for r in mid.collect()}
+    mid = both.groupBy("lang").agg(F.count("*").alias("n"), *[F.percentile_approx(c, 0.5, 10_000).alias(c) for c in NAMES]).collect()
     spark = w.sparkSession
     if not mid:
         return {}
+    n = {r["lang"]: r["n"] for r in mid}
+    mid = {r["lang"]: np.array([r[c] for c in NAMES], float) for r in mid}
+    mid = {k: v if k == "*" else _mixed(v, n[k], mid["*"]) for k, v in mid.items()}
     table = spark.createDataFrame([(k, *map(float, v)) for k, v in mid.items()], "lang string, " + ", ".join(f"m_{c} double" for c in NAMES))
     off = both.join(F.broadcast(table), "lang")
     dev = {r["lang"]: np.array([r[c] for c in NAMES], float) for r in off.groupBy("lang").agg(*[F.percentile_approx(F.abs(F.col(c) - F.col(f"m_{c}")), 0.5, 10_000).alias(c) for c in NAMES]).collect()}
+    dev = {k: v if k == "*" else _mixed(v, n[k], dev["*"]) for k, v in dev.items()}
     spread = {k: np.maximum(1.4826 * dev[k], LEAST_SPREAD) for k in mid}
     table = spark.createDataFrame([(k, *map(float, mid[k]), *map(float, spread[k])) for k in mid], "lang string, " + ", ".join([f"m_{c} double" for c in NAMES] + [f"s_{c} double" for c in NAMES]))
     near = both.join(F.broadcast(table), "lang")
@@ -135,7 +158,7 @@ def _spread(w: DataFrame) -> dict[str, tuple[np.ndarray, np.ndarray]]:
         near = near.where(F.abs(F.col(c) - F.col(f"m_{c}")) <= 3 * F.col(f"s_{c}"))
     pairs = [(i, j) for i in range(len(NAMES)) for j in range(i, len(NAMES))]
     agg = near.groupBy("lang").agg(F.count("*").alias("n"), *[F.avg(F.col(c).cast("double")).alias(c) for c in NAMES], *[F.avg(F.col(NAMES[i]).cast("double") * F.col(NAMES[j])).alias(f"x_{i}_{j}") for i, j in pairs])
-    out = {}
+    got = {}
     for r in agg.collect():
         mu = np.array([r[c] for c in NAMES])
         cov = np.diag(LEAST_SPREAD**2)
@@ -144,23 +167,31 @@ def _spread(w: DataFrame) -> dict[str, tuple[np.ndarray, np.ndarray]]:
             cov[i, j] += v
             if i != j:
                 cov[j, i] += v
-        out[r["lang"]] = (mu, np.linalg.inv(cov), np.sqrt(np.diag(cov)))
+        got[r["lang"]] = (r["n"], mu, cov)
+    out = {}
+    for lang in mid:
+        n_own, mu, cov = got.get(lang, (0, mid[lang], np.diag(spread[lang] ** 2)))
+        if lang != "*" and "*" in got:
+            mu, cov = _mixed(mu, n_own, got["*"][1]), _mixed(cov, n_own, got["*"][2])
+        out[lang] = (mu, np.linalg.inv(cov), np.sqrt(np.diag(cov)))
     return out
 
 
 def _judge(spread: dict):
+    limit = far()
+
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for f in frames:
             x = f[NAMES].to_numpy(float)
             bad = np.zeros(len(f), bool)
             langs = f["lang"].to_numpy()
             for lang in set(langs):
-                mu, inv, sd = spread.get(lang) or spread["*"]
+                mu, inv, sd = spread[lang]
                 i = langs == lang
                 z = x[i] - mu
                 d = np.einsum("ij,jk,ik->i", z, inv, z)
                 v = np.clip(z / sd, -CLIP, CLIP)
-                bad[i] = (d > FAR) & (v @ SIGNS > TOWARDS * np.sqrt(len(SIGNS)) * np.linalg.norm(v, axis=1))
+                bad[i] = (d > limit) & (v @ SIGNS > TOWARDS * np.sqrt(len(SIGNS)) * np.linalg.norm(v, axis=1))
             yield pd.DataFrame({"id": f["id"], "n": f["n"].astype("int64"), "bad": np.where(bad, f["n"], 0).astype("int64")})
 
     return run

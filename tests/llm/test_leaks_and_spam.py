@@ -107,3 +107,16 @@ def test_language_is_of_the_whole_text():
     head, body = "hold the bridge " * 1_500, "다리를 지켜라 " * 20_000
     assert len(head) > 20_000 and spam.language(head + body, None) == spam.language(body + head, "und") == "ko"
     assert spam.language(body[:30_000] + head * 10, " ") == spam.language(head, None) == "en"
+
+
+def test_the_cut_off_is_the_chi_squared_quantile():
+    rng = np.random.default_rng(5)
+    d = (rng.standard_normal((400_000, len(spam.NAMES))) ** 2).sum(1)
+    assert abs((d > spam.far(0.01)).mean() - 0.01) < 0.001 and 55 < spam.far() < 65
+
+
+def test_a_rare_language_is_judged_by_all(spark):
+    prose = lambda n: " ".join(SENTENCES[i % 3] for i in range(n))
+    docs = [(i, prose(5 + i % 20), "en") for i in range(200)] + [(900, prose(12), "xx"), (901, " | ".join(["miro best", "miro free"] * 120), "xx")]
+    got = {r["id"]: r["share"] for r in spam.spam_share(spark.createDataFrame(docs, "id long, text string, lang string")).collect()}
+    assert got[900] < 0.5 < got[901]
