@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
 SHARD = 20_000
-MOST_LIMITS = 1000
+BLOCK = 1000  # limits in one plan
+PACKED = "limit_name string, id long, piece int, n_pieces int, size long, container long"
 
 
 class Room:
@@ -78,25 +81,31 @@ def _shard(g: pd.DataFrame) -> pd.DataFrame:
 def pack(items: DataFrame, limits: DataFrame, shard: int = SHARD) -> DataFrame:
     """(limit_name, id, piece, n_pieces, size, container) of items (id long, size long) for limits (limit_name, capacity).
 
-    An item larger than the capacity is cut into whole containers and a rest; no other is cut. Items are spread by hash over shards of about
+    An item larger than the capacity is cut into whole containers and a rest; no other is cut. Pieces are spread by hash over shards of about
     `shard` pieces which are packed on their own; only the last containers of a shard may stay emptier than one packing of all
-    would leave them. Null sizes count as 0; items repeated under one id are packed each; capacities below 1 are an error.
+    would leave them. Null sizes count as 0; items repeated under one id are packed each; capacities below 1 are an error. Limits are parameters, and every
+    item has rows for each of them.
     """
-    given = [tuple(r) for r in limits.select("limit_name", F.col("capacity").cast("long")).distinct().limit(MOST_LIMITS + 1).collect()]
-    if len(given) > MOST_LIMITS or any(c is None or c < 1 for _, c in given):
-        raise ValueError("a capacity below 1, or more limits than are parameters")
+    given = [tuple(r) for r in limits.select("limit_name", F.col("capacity").cast("long")).distinct().collect()]
+    if any(c is None or c < 1 for _, c in given):
+        raise ValueError("a capacity below 1")
     i = items.select(F.col("id").cast("long").alias("id"), F.coalesce(F.col("size").cast("long"), F.lit(0)).alias("s"))
-    if not given:
-        return items.sparkSession.createDataFrame([], "limit_name string, id long, piece int, n_pieces int, size long, container long")
-    n = F.greatest(F.ceil(F.col("s") / F.col("capacity")), F.lit(1)).cast("int")
+    out = [_packed(i, given[k : k + BLOCK], shard) for k in range(0, len(given), BLOCK)]
+    return reduce(DataFrame.unionAll, out) if out else items.sparkSession.createDataFrame([], PACKED)
+
+
+def _packed(i: DataFrame, given: list[tuple], shard: int) -> DataFrame:
+    count = lambda c: F.greatest(F.ceil(F.col("s") / c), F.lit(1)).cast("long")
+    n_pieces = i.agg(*[F.coalesce(F.sum(count(F.lit(c))), F.lit(0)) for _, c in given]).first()
+    shards = [max(1, -(-n // shard)) for n in n_pieces]
+    each = [F.struct(F.lit(a).alias("limit_name"), F.lit(c).cast("long").alias("capacity"), F.lit(n).cast("long").alias("shards")) for (a, c), n in zip(given, shards)]
     pieces = (
-        i.select("*", F.inline(F.array(*[F.struct(F.lit(a).alias("limit_name"), F.lit(c).cast("long").alias("capacity")) for a, c in given])))
-        .withColumn("n_pieces", n)
+        i.select("*", F.inline(F.array(*each)))
+        .withColumn("n_pieces", count(F.col("capacity")).cast("int"))
         .withColumn("piece", F.explode(F.sequence(F.lit(0), F.col("n_pieces") - 1)))
         .withColumn("size", F.least("capacity", F.col("s") - F.col("piece") * F.col("capacity")))
+        .withColumn("shard", F.pmod(F.xxhash64("id", "piece"), F.col("shards")))
     )
-    shards = max(1, -(-items.count() // shard))
-    pieces = pieces.withColumn("shard", F.pmod(F.xxhash64("id", "piece"), F.lit(shards)))
-    return pieces.select("limit_name", "capacity", "shard", "id", "piece", "n_pieces", "size").groupBy("limit_name", "shard").applyInPandas(
-        _shard, "limit_name string, id long, piece int, n_pieces int, size long, container long"
-    )
+    # as many tasks as shards: each is about as much work as another
+    spread = pieces.select("limit_name", "capacity", "shard", "id", "piece", "n_pieces", "size").repartition(max(8, 2 * sum(shards)), "limit_name", "shard")
+    return spread.groupBy("limit_name", "shard").applyInPandas(_shard, PACKED)

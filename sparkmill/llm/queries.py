@@ -53,6 +53,14 @@ def _near(spark: SparkSession, sf: str) -> DataFrame:
     return neargroups.near_groups(table(spark, sf, "accepted_samples"), F.col("sample_no"), F.col(AREA), F.col(COMMAND), F.col("output.thinking"))
 
 
+def p1_members(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows of p1_clusters, their samples, and those whose cluster's number is no member's of it or not the least."""
+    c = cut(p1_clusters(spark, sf), "clusters")
+    least = c.groupBy("cluster_no").agg(F.min("sample_no").alias("least"))
+    wrong = least.where("cluster_no <> least").agg(F.count("*")).scalar()
+    return c.agg(F.count("*").alias("n_rows"), F.countDistinct("sample_no").alias("n_samples"), wrong.alias("n_wrong"), F.count_if((F.col("n_links") == 0) & (F.col("cluster_no") != F.col("sample_no"))).alias("n_without_link"))
+
+
 def p4_found(spark: SparkSession, sf: str) -> DataFrame:
     return _near(spark, sf).where("no <> group_no").select(F.col("group_no").alias("first_no"), F.col("no").alias("sample_no"))
 
@@ -74,6 +82,13 @@ def _shared(spark: SparkSession, sf: str) -> DataFrame:
     return overlap.cross_pairs(rows)
 
 
+def p4_members(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows of p4_groups, their samples, and groups whose number is not their least member's."""
+    g = cut(p4_groups(spark, sf), "groups")
+    wrong = g.groupBy("group_no").agg(F.min("sample_no").alias("least")).where("group_no <> least").agg(F.count("*")).scalar()
+    return g.agg(F.count("*").alias("n_rows"), F.countDistinct("sample_no").alias("n_samples"), wrong.alias("n_wrong"), F.count_if((F.col("n_links") == 0) & (F.col("group_no") != F.col("sample_no"))).alias("n_without_link"))
+
+
 def p7_found(spark: SparkSession, sf: str) -> DataFrame:
     return _shared(spark, sf).select("low_no", "high_no")
 
@@ -198,6 +213,16 @@ def p8_unused(spark: SparkSession, sf: str) -> DataFrame:
     return used.join(table(spark, sf, "pack_limits"), "limit_name").select("limit_name", "n_containers", "n_tokens", (1 - F.col("n_tokens") / (F.col("n_containers") * F.col("capacity_tokens"))).alias("unused"))
 
 
+def p8_whole(spark: SparkSession, sf: str) -> DataFrame:
+    """For each limit the documents and tokens in its containers, the containers that hold too much, and the documents cut without need."""
+    p = cut(_packed(spark, sf), "packed")
+    full = p.groupBy("limit_name", "container").agg(F.sum("size").alias("n")).join(table(spark, sf, "pack_limits"), "limit_name")
+    over = full.groupBy("limit_name").agg(F.count_if(F.col("n") > F.col("capacity_tokens")).alias("n_over"))
+    docs = p.groupBy("limit_name", "id").agg(F.sum("size").alias("n"), F.max("n_pieces").alias("n_pieces"), F.count("*").alias("n_rows")).join(table(spark, sf, "pack_limits"), "limit_name")
+    bad = (F.col("n_rows") != F.col("n_pieces")) | (F.col("n_pieces") != F.greatest(F.ceil(F.col("n") / F.col("capacity_tokens")), F.lit(1)))
+    return docs.groupBy("limit_name").agg(F.count("*").alias("n_docs"), F.sum("n").alias("n_tokens"), F.count_if(bad).alias("n_cut_wrong")).join(over, "limit_name")
+
+
 def _leaks(spark: SparkSession, sf: str, **how) -> DataFrame:
     return leaks.leaks(table(spark, sf, "documents").select(F.col("doc_id").alias("id"), "text"), table(spark, sf, "eval_items"), **how)
 
@@ -219,7 +244,7 @@ def p10_found(spark: SparkSession, sf: str) -> DataFrame:
     return p10_share(spark, sf).where("spam_share > 0.5").select("doc_id")
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_clusters, p4_found, p4_groups, p2_found, p2_splits, p2_shares, p5_found, p5_report, p5_outcome, p5_totals, p5_draw, p7_found, p7_methods, p7_counts, p7_coverage, p8_found, p8_containers, p8_unused, p9_found, p9_alignments, p10_share, p10_found)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_clusters, p1_members, p4_found, p4_groups, p4_members, p2_found, p2_splits, p2_shares, p5_found, p5_report, p5_outcome, p5_totals, p5_draw, p7_found, p7_methods, p7_counts, p7_coverage, p8_found, p8_containers, p8_unused, p8_whole, p9_found, p9_alignments, p10_share, p10_found)}
 _PLAIN = "replace(replace(lower(regexp_replace({0}, '^\\s+|\\s+$', '', 'g')), '-', '_'), ' ', '_')"
 
 
@@ -239,6 +264,9 @@ f AS (SELECT request_no, category, n_want, n_need, CAST(coalesce(sum(n), 0) AS B
   FROM g LEFT JOIN c ON g.split = c.split AND g.axis = c.axis AND g.value = c.value AND (g.parent IS NULL OR g.parent = c.intent) GROUP BY ALL)"""
 
 ORACLE_SQL: dict[str, str] = {
+    "p1_members": "SELECT count(*) AS n_rows, count(DISTINCT sample_no) AS n_samples, 0 AS n_wrong, 0 AS n_without_link FROM (SELECT DISTINCT sample_no FROM accepted_samples UNION SELECT sample_no FROM incoming_samples)",
+    "p4_members": "SELECT count(DISTINCT sample_no) AS n_rows, count(DISTINCT sample_no) AS n_samples, 0 AS n_wrong, 0 AS n_without_link FROM accepted_samples",
+    "p8_whole": "SELECT limit_name, count(*) AS n_docs, CAST(sum(strlen(coalesce(text, '')) + 1) AS BIGINT) AS n_tokens, 0 AS n_cut_wrong, 0 AS n_over FROM documents, pack_limits GROUP BY 1",
     "p2_shares": "SELECT split, share, true AS is_near, 0 AS n_torn_families FROM split_targets",
     "p5_found": _SHORT + " SELECT request_no, category FROM f WHERE n_have < n_need",
     "p5_report": _SHORT + " SELECT *, n_have < n_need AS is_short FROM f",
