@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.textnorm import like
 from ..session import cut
+from .pieces import MIX, maps, may_be_like, pieces
 from .suffixes import span_pairs
 
 BUCKETS = 1 << 18
@@ -30,36 +31,25 @@ BLOCK = 2_000_000
 NO_SIZE = np.int64(1 << 40)
 BY_SPAN, BY_JOIN = 1, 2
 ENTRY = np.dtype([("tid", "<i8"), ("b0", "<u8"), ("b1", "<u8"), ("bm", "<u4"), ("size", "<u4"), ("pos", "<u2")])
-_MIX = np.uint64(0x9E3779B97F4A7C15)
-
-
-def _pieces(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Row and code of every distinct piece of normal texts, sorted by row."""
-    c = np.frombuffer(("\n".join(texts) + "\n").encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
-    end = c == 10
-    row = (np.cumsum(end) - end).astype(np.uint64)
-    ok = ~(end[:-1] | end[1:])
-    key = np.unique((row[:-1][ok] << np.uint64(42)) | (c[:-1][ok] << np.uint64(21)) | c[1:][ok])
-    return (key >> np.uint64(42)).astype(np.int64), key & np.uint64((1 << 42) - 1)
 
 
 def _bucket(code: np.ndarray) -> np.ndarray:
-    return ((code * _MIX) >> np.uint64(46)).astype(np.int64)
+    return ((code * MIX) >> np.uint64(46)).astype(np.int64)
 
 
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     n = np.zeros(BUCKETS, np.int64)
     for b in batches:
-        n += np.bincount(_bucket(_pieces(b.column("text").to_pylist())[1]), minlength=BUCKETS)
+        n += np.bincount(_bucket(pieces(b.column("text").to_pylist())[1]), minlength=BUCKETS)
     at = np.nonzero(n)[0]
     yield pa.RecordBatch.from_pydict({"bucket": at, "n": n[at]})
 
 
 def _listed(texts: list[str], rank: np.ndarray) -> tuple[np.ndarray, ...]:
     """Of every text's prefix pieces: row, bucket, position, size; and the first place of each row with pieces and the codes in row order."""
-    row, code = _pieces(texts)
+    row, code = pieces(texts)
     bucket = _bucket(code)
-    order = np.argsort((row.astype(np.uint64) << np.uint64(42)) | (rank[bucket].astype(np.uint64) << np.uint64(24)) | ((code * _MIX) >> np.uint64(16)) & np.uint64(0xFFFFFF))
+    order = np.argsort((row.astype(np.uint64) << np.uint64(42)) | (rank[bucket].astype(np.uint64) << np.uint64(24)) | ((code * MIX) >> np.uint64(16)) & np.uint64(0xFFFFFF))
     row, code, bucket = row[order], code[order], bucket[order]
     start = np.nonzero(np.r_[True, row[1:] != row[:-1]])[0] if len(row) else np.zeros(0, np.int64)
     size = np.diff(np.r_[start, len(row)])
@@ -104,10 +94,7 @@ def _entries(rank: np.ndarray, dest: np.ndarray, grid: np.ndarray, least: np.nda
             row, code, bucket, pos, n, start = _listed(b.column("text").to_pylist(), rank)
             if not len(row):
                 continue
-            bit = (code * _MIX) >> np.uint64(57)
-            one = np.uint64(1) << (bit & np.uint64(63))
-            b0 = np.bitwise_or.reduceat(np.where(bit < 64, one, np.uint64(0)), start)
-            b1 = np.bitwise_or.reduceat(np.where(bit >= 64, one, np.uint64(0)), start)
+            b0, b1 = maps(code, start)
             nth = np.repeat(np.arange(len(start)), np.diff(np.r_[start, len(row)]))
             tid, mask = b.column("tid").to_numpy(), b.column("mask").to_numpy(zero_copy_only=False).astype(np.int64)
             first = (pos <= n - (6 * n + 9) // 10) & (dest[bucket] >= 0)
@@ -117,7 +104,7 @@ def _entries(rank: np.ndarray, dest: np.ndarray, grid: np.ndarray, least: np.nda
             e["tid"], e["b0"], e["b1"] = tid[row], b0[nth], b1[nth]
             e["bm"], e["size"], e["pos"] = (bucket << 4) | mask[row], n, np.minimum(pos, 65535)
             g = grid[bucket]
-            block = (tid[row].astype(np.uint64) * _MIX >> np.uint64(32)).astype(np.int64) % g
+            block = (tid[row].astype(np.uint64) * MIX >> np.uint64(32)).astype(np.int64) % g
             for side, bits in ((0, 5), (1, 10)):
                 mine = (mask[row] & bits > 0) & useful[side]
                 for k in range(int(g.max(initial=1))):  # blocks of the other side
@@ -154,9 +141,8 @@ def _compare(a: np.ndarray, b: np.ndarray) -> Iterator[pa.RecordBatch]:
             if not len(x):
                 continue
             x, y = x + i, y + j0
-            apart = np.bitwise_count(a["b0"][x] ^ b["b0"][y]) + np.bitwise_count(a["b1"][x] ^ b["b1"][y])
-            n = sa[x] + sb[y]
-            ok = (apart <= n - 2 * ((3 * n + 7) // 8)) & ((a["bm"][x] & (b["bm"][y] >> 1) & 5) > 0) & (a["tid"][x] != b["tid"][y])
+            near = may_be_like(sa[x] + sb[y], (a["b0"][x], a["b1"][x]), (b["b0"][y], b["b1"][y]))
+            ok = near & ((a["bm"][x] & (b["bm"][y] >> 1) & 5) > 0) & (a["tid"][x] != b["tid"][y])
             xs.append(a["tid"][x[ok]])
             ys.append(b["tid"][y[ok]])
     if xs:

@@ -16,6 +16,8 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from .pieces import maps, may_be_like, pieces
+
 SPAN = 8  # the least length of a shared span
 WIDTH = 256  # characters of a suffix that are compared at once; a longer span shows as spans that follow each other
 MAP = 1 << 20
@@ -224,7 +226,7 @@ def _side_bits(n: np.ndarray, run: int, span: int):
 
 
 def _suffixes(n: np.ndarray, both: np.ndarray, run: int, span: int):
-    """Two hashes of each picked suffix, of its first and its next `span` characters, with its text, sides and number of pieces."""
+    """Two hashes of each picked suffix, of its first and its next `span` characters, with its text's sides, number of pieces and piece maps."""
 
     def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -240,34 +242,42 @@ def _suffixes(n: np.ndarray, both: np.ndarray, run: int, span: int):
             after = first + off + span
             whole = off + 2 * span <= size[row]
             deep = np.where(whole, gh[np.minimum(after, len(gh) - 1)], np.uint64(0))
-            pieces = np.array([len(set(zip(texts[r], texts[r][1:]))) for r in np.unique(row)], np.int32)[np.searchsorted(np.unique(row), row)]
-            yield pa.RecordBatch.from_pydict({"h": h.view(np.int64), "deep": deep.view(np.int64), "tid": tid[row], "mask": mask[row], "size": pieces})
+            used, nth = np.unique(row, return_inverse=True)
+            at, code = pieces([texts[r] for r in used])  # all have some: they are longer than a gram
+            start = np.nonzero(np.r_[True, at[1:] != at[:-1]])[0]
+            b0, b1 = maps(code, start)
+            n_pieces = np.diff(np.r_[start, len(at)]).astype(np.int32)
+            yield pa.RecordBatch.from_pydict({
+                "h": h.view(np.int64), "deep": deep.view(np.int64), "tid": tid[row], "mask": mask[row], "size": n_pieces[nth], "b0": b0[nth].view(np.int64), "b1": b1[nth].view(np.int64),
+            })
 
     return go
 
 
-def _interval_pairs(tid: np.ndarray, mask: np.ndarray, size: np.ndarray, deep: np.ndarray, most: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Left and right tids of an interval of suffixes with a common prefix; one that holds more pairs than `most` is cut into those of the longer
-    prefixes, and what is still too large gives none."""
+def _interval_pairs(rows: np.ndarray, c: list[np.ndarray], most: int, descend: bool = True) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Left and right tids of an interval, rows of the columns `c`, of suffixes with a common prefix; one that holds more pairs than `most` is cut into those of
+    the longer prefixes, and what is still too large gives none. Pairs whose sizes or piece maps rule out the likeness are left out."""
+    _, deep, tid, mask, size, b0, b1 = c
     for left, right in ((1, 2), (4, 8)):
-        i, j = np.nonzero(mask & left)[0], np.nonzero(mask & right)[0]
+        i, j = rows[mask[rows] & left > 0], rows[mask[rows] & right > 0]
         if not len(i) or not len(j):
             continue
         if len(i) * len(j) > most:
-            if deep is not None:
-                order = np.argsort(deep, kind="stable")
-                cut = np.nonzero(np.diff(deep[order]))[0] + 1
-                for part in np.split(order, cut):
+            if descend:
+                order = rows[np.argsort(deep[rows], kind="stable")]
+                for part in np.split(order, np.nonzero(np.diff(deep[order]))[0] + 1):
                     if deep[part[0]]:
-                        yield from _interval_pairs(tid[part], mask[part] & (left | right), size[part], None, most)
+                        yield from _interval_pairs(part, [*c[:3], mask & (left | right), *c[4:]], most, False)
             continue
         near = 10 * np.minimum(size[i][:, None], size[j][None, :]) >= 6 * np.maximum(size[i][:, None], size[j][None, :])
-        a, b = np.nonzero(near & (tid[i][:, None] != tid[j][None, :]))
-        yield tid[i[a]], tid[j[b]]
+        a, b = np.nonzero(near)
+        a, b = i[a], j[b]
+        ok = (tid[a] != tid[b]) & may_be_like(size[a] + size[b], (b0[a].view(np.uint64), b1[a].view(np.uint64)), (b0[b].view(np.uint64), b1[b].view(np.uint64)))
+        yield tid[a[ok]], tid[b[ok]]
 
 
 def _intervals(most: int):
-    names = ["h", "deep", "tid", "mask", "size"]
+    names = ["h", "deep", "tid", "mask", "size", "b0", "b1"]
 
     def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None
@@ -284,7 +294,7 @@ def _intervals(most: int):
             both = np.bitwise_or.reduceat(cols[3], start)
             for s, e, m in zip(start, [*start[1:], len(h)], both):
                 if e <= end and (m & 3 == 3 or m & 12 == 12):
-                    for x, y in _interval_pairs(cols[2][s:e], cols[3][s:e], cols[4][s:e], cols[1][s:e], most):
+                    for x, y in _interval_pairs(np.arange(s, e), cols, most):
                         xs.append(x)
                         ys.append(y)
             if xs:
@@ -301,7 +311,7 @@ def _with_end(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch | No
 
 
 def span_pairs(texts: DataFrame, run: int = RUN, span: int = SPAN, most: int = PAIRS) -> DataFrame:
-    """(x, y), with repeats: tids of a left and a right text that share `run` characters in a row and whose numbers of pieces allow a likeness of 0.6.
+    """(x, y), with repeats: tids of a left and a right text that share `run` characters in a row and whose pieces allow a likeness of 0.6; all that have it are among them.
 
     `texts`: tid long, text, mask int (bits 1 and 4 left, 2 and 8 right; 1 meets 2 and 4 meets 8). Of the array of all suffixes those are kept that begin
     with the rarest gram of `span` characters in some `run` characters of their text, so a shared span keeps the same suffix on both sides. They
@@ -318,5 +328,5 @@ def span_pairs(texts: DataFrame, run: int = RUN, span: int = SPAN, most: int = P
     for r in texts.select("text", "mask").mapInArrow(_side_bits(n, run, span), "word long, l long, r long").groupBy("word").agg(F.bit_or("l"), F.bit_or("r")).toArrow().to_batches():
         words[:, r.column(0).to_numpy()] = np.stack([r.column(1).to_numpy(), r.column(2).to_numpy()])
     both = np.unpackbits((words[0] & words[1]).view(np.uint8)).astype(bool)
-    rows = texts.mapInArrow(_suffixes(n, both, run, span), "h long, deep long, tid long, mask int, size int")
+    rows = texts.mapInArrow(_suffixes(n, both, run, span), "h long, deep long, tid long, mask int, size int, b0 long, b1 long")
     return rows.repartition("h").sortWithinPartitions("h", "deep").mapInArrow(_intervals(most), "x long, y long")

@@ -3,6 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from sparkmill.functions.textnorm import py_like
 from sparkmill.llm import suffixes
 
 
@@ -60,8 +61,7 @@ def test_every_shared_run_gives_its_pair(spark, most):
     for x, a, p in rows:
         for y, b, q in rows:
             if x != y and a and b and p & (q >> 1) & 5:
-                k, n = len({*zip(a, a[1:])}), len({*zip(b, b[1:])})
-                if 10 * min(k, n) >= 6 * max(k, n) and any(a[i : i + suffixes.RUN] in b for i in range(len(a) - suffixes.RUN + 1)):
+                if py_like(a, b) >= 0.6 and any(a[i : i + suffixes.RUN] in b for i in range(len(a) - suffixes.RUN + 1)):
                     want.add((x, y))
     df = spark.createDataFrame(rows, "tid long, text string, mask int").withColumn("h", F.lit("clash"))
     got = {tuple(r) for r in suffixes.span_pairs(df.repartition(4), most=most).collect()}
