@@ -182,40 +182,40 @@ def shared_spans(texts: DataFrame, span: int = SPAN, most: int = MOST) -> DataFr
 
 # Pairs of texts that share a span ----------------------------------------------------------------------------------------------
 
-RUN = 12  # the span that two texts share, by which they are found
+RUN = 16  # the span that two texts share, by which they are found
 PAIRS = 50_000  # of one interval that are paired off
 BITS = 1 << 24
 
 
 def _picked(texts: list[str], n: np.ndarray, run: int, span: int) -> tuple[np.ndarray, ...]:
-    """Row, offset and hash of the suffixes that stand for a text: of every `run` characters the one that begins with the rarest gram.
+    """Row, offset and hash of all suffixes, and the places among them of those that stand for a text: of every `run` characters the one that begins with the rarest gram.
 
     Which that is follows from these characters alone, so two texts that share them have the same gram among theirs.
     """
     row, off, h = _grams(texts, span)
+    none = np.zeros(0, np.int64)
     if not len(h):
-        return row, off, h
+        return row, off, h, none
     order = (np.minimum(n[(h >> np.uint64(44)).astype(np.int64)], (1 << 20) - 1).astype(np.uint64) << np.uint64(44)) | (h >> np.uint64(20))
     w = run - span + 1
     best, have = np.arange(len(h)), 1  # place of the least order in the `have` places from each on, by doubling
     while have < w:
         step = min(have, w - have)
         if len(best) <= step:
-            return row[:0], off[:0], h[:0]
+            return row, off, h, none
         a, b = best[:-step], best[step:]
         best = np.where(order[a] <= order[b], a, b)
         have += step
     last = np.arange(len(best)) + w - 1
-    picked = np.unique(best[row[: len(best)] == row[last]])
-    return row[picked], off[picked], h[picked]
+    return row, off, h, np.unique(best[row[: len(best)] == row[last]])
 
 
 def _side_bits(n: np.ndarray, run: int, span: int):
     def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.zeros((2, BITS), bool)
         for b in batches:
-            row, _, h = _picked(b.column("text").to_pylist(), n, run, span)
-            mask, at = b.column("mask").to_numpy(zero_copy_only=False)[row], (h >> np.uint64(40)).astype(np.int64)
+            row, _, h, pick = _picked(b.column("text").to_pylist(), n, run, span)
+            mask, at = b.column("mask").to_numpy(zero_copy_only=False)[row[pick]], (h[pick] >> np.uint64(40)).astype(np.int64)
             bits[0][at[mask & 5 > 0]] = True
             bits[1][at[mask & 10 > 0]] = True
         words = np.packbits(bits, axis=1).view(np.int64)
@@ -231,17 +231,15 @@ def _suffixes(n: np.ndarray, both: np.ndarray, run: int, span: int):
     def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             texts, tid, mask = b.column("text").to_pylist(), b.column("tid").to_numpy(), b.column("mask").to_numpy(zero_copy_only=False).astype(np.int32)
-            row, off, h = _picked(texts, n, run, span)
-            keep = both[(h >> np.uint64(40)).astype(np.int64)]
-            row, off, h = row[keep], off[keep], h[keep]
-            if not len(row):
+            row_of, off, h_of, pick = _picked(texts, n, run, span)
+            pick = pick[both[(h_of[pick] >> np.uint64(40)).astype(np.int64)]]
+            if not len(pick):
                 continue
-            grow, goff, gh = _grams(texts, span)
+            row, h = row_of[pick], h_of[pick]
             size = np.array([len(t) for t in texts])
-            first = np.searchsorted(grow, row)  # grams stand in the order of rows and offsets
-            after = first + off + span
-            whole = off + 2 * span <= size[row]
-            deep = np.where(whole, gh[np.minimum(after, len(gh) - 1)], np.uint64(0))
+            after = np.minimum(pick + span, len(h_of) - 1)  # grams stand in the order of rows and offsets
+            whole = off[pick] + 2 * span <= size[row]
+            deep = np.where(whole, h_of[after], np.uint64(0))
             used, nth = np.unique(row, return_inverse=True)
             at, code = pieces([texts[r] for r in used])  # all have some: they are longer than a gram
             start = np.nonzero(np.r_[True, at[1:] != at[:-1]])[0]
