@@ -28,7 +28,7 @@ LIKE = 0.6  # the integer bounds below are those of 6/10
 TASK_PAIRS, TASK_ENTRIES = 15_000_000, 100_000  # of one key; a task gets about KEYS of them, one after the other
 KEYS = 4
 BLOCK = 2_000_000
-NO_SIZE = np.int64(1 << 40)
+NO_SIZE = np.int64(1 << 30)  # no text has as many pieces
 BY_SPAN, BY_JOIN = 1, 2
 ENTRY = np.dtype([("tid", "<i8"), ("b0", "<u8"), ("b1", "<u8"), ("bm", "<u4"), ("size", "<u4"), ("pos", "<u2")])
 
@@ -197,7 +197,7 @@ def _plan(texts: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndar
     n = np.zeros(BUCKETS, np.int64)
     for r in texts.select("text").mapInArrow(_counts, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow().to_batches():
         n[r.column(0).to_numpy()] = r.column(1).to_numpy()
-    rank = np.empty(BUCKETS, np.int64)
+    rank = np.empty(BUCKETS, np.int32)
     rank[np.lexsort((np.arange(BUCKETS), n))] = np.arange(BUCKETS)
     left, right = np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64)
     least = np.full((2, BUCKETS), NO_SIZE)
@@ -217,6 +217,7 @@ def _plan(texts: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndar
     load = np.zeros(tasks + int((grid[heavy] ** 2).sum()))
     np.add.at(load, dest[light], entries[light])
     load[tasks:] = np.repeat(entries[heavy] / grid[heavy], grid[heavy] ** 2)
+    dest, grid, least = dest.astype(np.int32), grid.astype(np.int32), least.astype(np.int32)  # they are sent to every task
     return rank, dest, grid, least, _balanced(load, max(8, len(load) // KEYS))
 
 

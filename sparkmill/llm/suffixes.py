@@ -196,7 +196,7 @@ def _picked(texts: list[str], n: np.ndarray, run: int, span: int) -> tuple[np.nd
     none = np.zeros(0, np.int64)
     if not len(h):
         return row, off, h, none
-    order = (np.minimum(n[(h >> np.uint64(44)).astype(np.int64)], (1 << 20) - 1).astype(np.uint64) << np.uint64(44)) | (h >> np.uint64(20))
+    order = (n[(h >> np.uint64(44)).astype(np.int64)].astype(np.uint64) << np.uint64(44)) | (h >> np.uint64(20))
     w = run - span + 1
     best, have = np.arange(len(h)), 1  # place of the least order in the `have` places from each on, by doubling
     while have < w:
@@ -225,10 +225,11 @@ def _side_bits(n: np.ndarray, run: int, span: int):
     return go
 
 
-def _suffixes(n: np.ndarray, both: np.ndarray, run: int, span: int):
+def _suffixes(n: np.ndarray, words: np.ndarray, run: int, span: int):
     """Two hashes of each picked suffix, of its first and its next `span` characters, with its text's sides, number of pieces and piece maps."""
 
     def go(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        both = np.unpackbits(words.view(np.uint8)).astype(bool)
         for b in batches:
             texts, tid, mask = b.column("text").to_pylist(), b.column("tid").to_numpy(), b.column("mask").to_numpy(zero_copy_only=False).astype(np.int32)
             row_of, off, h_of, pick = _picked(texts, n, run, span)
@@ -322,9 +323,9 @@ def span_pairs(texts: DataFrame, run: int = RUN, span: int = SPAN, most: int = P
     sides = texts.select("text", F.lit(1).alias("side"))
     for r in sides.mapInArrow(_present(span), "bucket long, l long, r long").groupBy("bucket").agg(F.sum("l").alias("l")).toArrow().to_batches():
         n[r.column(0).to_numpy()] = r.column(1).to_numpy()
+    n = np.minimum(n, (1 << 20) - 1).astype(np.int32)
     words = np.zeros((2, BITS // 64), np.int64)
     for r in texts.select("text", "mask").mapInArrow(_side_bits(n, run, span), "word long, l long, r long").groupBy("word").agg(F.bit_or("l"), F.bit_or("r")).toArrow().to_batches():
         words[:, r.column(0).to_numpy()] = np.stack([r.column(1).to_numpy(), r.column(2).to_numpy()])
-    both = np.unpackbits((words[0] & words[1]).view(np.uint8)).astype(bool)
-    rows = texts.mapInArrow(_suffixes(n, both, run, span), "h long, deep long, tid long, mask int, size int, b0 long, b1 long")
+    rows = texts.mapInArrow(_suffixes(n, words[0] & words[1], run, span), "h long, deep long, tid long, mask int, size int, b0 long, b1 long")
     return rows.repartition("h").sortWithinPartitions("h", "deep").mapInArrow(_intervals(most), "x long, y long")
