@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, functions as F
 from ..functions.textnorm import norm
 from ..operators.rank import spread_join
 from ..session import cut, mark_small
+from .pieces import firsts
 
 RUN, SEED = 40, 20
 MATCH, MISMATCH, GAP = 2, -1, -1
@@ -127,7 +128,8 @@ def _scan(words: np.ndarray, log: int):
             at, doc = at[inside], doc[inside]
             if not len(doc):
                 continue
-            docs, first = np.unique(doc, return_index=True)
+            first = firsts(doc)
+            docs = doc[first]
             yield pa.RecordBatch.from_pydict({
                 "id": ids.take(pa.array(docs)), "text": pa.array([texts[d] for d in docs], pa.string()),
                 "grams": pa.array(np.split(h[at].view(np.int64), first[1:]), pa.list_(pa.int64())),

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.textnorm import like
 from ..session import cut
-from .pieces import MIX, maps, may_be_like, pieces
+from .pieces import MIX, distinct_pairs, maps, may_be_like, pieces
 from .suffixes import span_pairs
 
 BUCKETS = 1 << 18
@@ -159,9 +159,9 @@ def _compare(a: np.ndarray, b: np.ndarray) -> Iterator[pa.RecordBatch]:
             xs.append(a["tid"][x[ok]])
             ys.append(b["tid"][y[ok]])
     if xs:
-        pairs = np.unique(np.stack([np.concatenate(xs), np.concatenate(ys)], 1), axis=0)
-        for i in range(0, len(pairs), 100_000):
-            yield pa.RecordBatch.from_pydict({"x": pairs[i : i + 100_000, 0].copy(), "y": pairs[i : i + 100_000, 1].copy()})
+        x, y = distinct_pairs(np.concatenate(xs), np.concatenate(ys))
+        for i in range(0, len(x), 100_000):
+            yield pa.RecordBatch.from_pydict({"x": x[i : i + 100_000], "y": y[i : i + 100_000]})
 
 
 def _compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

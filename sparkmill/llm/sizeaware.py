@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from ..session import cut
+from .pieces import firsts
 
 BUCKETS = 1 << 16
 BOUNDARIES = (0, 4, 8, 12, 16, 20, 24, 32)  # numbers of pieces up to which a set may be small
@@ -27,7 +28,8 @@ _MIX = np.uint64(0x9E3779B97F4A7C15)
 def _codes(text: str) -> np.ndarray:
     """Hashes of the distinct pieces of a normal text."""
     c = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
-    h = np.unique((c[:-1] << np.uint64(21)) | c[1:]) * _MIX
+    h = np.sort((c[:-1] << np.uint64(21)) | c[1:])
+    h = h[firsts(h)] * _MIX
     return h ^ (h >> np.uint64(32))
 
 

@@ -16,7 +16,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .pieces import maps, may_be_like, pieces
+from .pieces import distinct_pairs, firsts, maps, may_be_like, pieces
 
 SPAN = 8  # the least length of a shared span
 WIDTH = 256  # characters of a suffix that are compared at once; a longer span shows as spans that follow each other
@@ -207,7 +207,8 @@ def _picked(texts: list[str], n: np.ndarray, run: int, span: int) -> tuple[np.nd
         best = np.where(order[a] <= order[b], a, b)
         have += step
     last = np.arange(len(best)) + w - 1
-    return row, off, h, np.unique(best[row[: len(best)] == row[last]])
+    best = best[row[: len(best)] == row[last]]  # these places never go back
+    return row, off, h, best[firsts(best)]
 
 
 def _side_bits(n: np.ndarray, run: int, span: int):
@@ -241,7 +242,8 @@ def _suffixes(n: np.ndarray, words: np.ndarray, run: int, span: int):
             after = np.minimum(pick + span, len(h_of) - 1)  # grams stand in the order of rows and offsets
             whole = off[pick] + 2 * span <= size[row]
             deep = np.where(whole, h_of[after], np.uint64(0))
-            used, nth = np.unique(row, return_inverse=True)
+            begin = firsts(row)
+            used, nth = row[begin], np.repeat(np.arange(len(begin)), np.diff(np.r_[begin, len(row)]))
             at, code = pieces([texts[r] for r in used])  # all have some: they are longer than a gram
             start = np.nonzero(np.r_[True, at[1:] != at[:-1]])[0]
             b0, b1 = maps(code, start)
@@ -297,9 +299,9 @@ def _intervals(most: int):
                         xs.append(x)
                         ys.append(y)
             if xs:
-                pairs = np.unique(np.stack([np.concatenate(xs), np.concatenate(ys)], 1), axis=0)
-                for i in range(0, len(pairs), 100_000):
-                    yield pa.RecordBatch.from_pydict({"x": pairs[i : i + 100_000, 0].copy(), "y": pairs[i : i + 100_000, 1].copy()})
+                x, y = distinct_pairs(np.concatenate(xs), np.concatenate(ys))
+                for i in range(0, len(x), 100_000):
+                    yield pa.RecordBatch.from_pydict({"x": x[i : i + 100_000], "y": y[i : i + 100_000]})
 
     return go
 
