@@ -7,10 +7,11 @@ import math
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ..functions.textnorm import like, norm
+from ..functions.textnorm import norm
 from ..operators.components import connected_components
 from ..session import cut, exists, new_path
 from . import battle
+from .texts import like
 
 FIRST = -(2**62)  # the batch of what was accepted before any batch
 LIKE_CUTS, UNIT_CUTS = (0.3, 0.6, 0.8, 1.0), (6, 9, 12)

@@ -9,10 +9,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.textnorm import like, norm
+from ..functions.textnorm import norm
 from ..operators.components import connected_components
 from ..session import cut
 from . import battle
+from .texts import like
 
 LIKE = 0.6
 

@@ -18,10 +18,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.textnorm import like
 from ..session import cut
 from .pieces import MIX, distinct_pairs, maps, may_be_like, pieces
 from .suffixes import span_pairs
+from .texts import like
 
 BUCKETS = 1 << 18
 LIKE = 0.6  # the integer bounds below are those of 6/10

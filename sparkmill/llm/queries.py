@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ..functions.textnorm import base_text, norm, part
+from ..functions.textnorm import norm
 from ..session import cut, new_path, table
 from . import leaks, neargroups, overlap, packing, quota, spam, splits, suffixes
 from .linkage import LinkageStore
+from .texts import base_text, part
 
 COMMAND, BASE, AREA = "command_spec.command_text", "command_spec.base_command_text", "input.input.area_situation"
 

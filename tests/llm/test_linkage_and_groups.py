@@ -3,8 +3,9 @@ import random
 import pytest
 from pyspark.sql import Row, functions as F
 
-from sparkmill.functions.textnorm import py_like, py_norm
+from sparkmill.functions.textnorm import py_norm
 from sparkmill.llm import battle, linkage, neargroups
+from sparkmill.llm.texts import py_like
 
 SIDE = "array<struct<unitId:string,isAlive:boolean,canBeTargeted:boolean,isRanged:boolean,hpRatio:double,attackRatioToAvg:double,engagedByOpponentCount:int,teamFormationRole:string,extra:string>>"
 AREA = f"struct<allies:{SIDE},enemies:{SIDE}>"

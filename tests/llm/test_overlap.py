@@ -3,8 +3,8 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from sparkmill.functions.textnorm import py_like
 from sparkmill.llm import overlap
+from sparkmill.llm.texts import py_like
 
 
 def texts(seed, n):

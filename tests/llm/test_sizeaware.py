@@ -4,8 +4,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from sparkmill.functions.textnorm import py_like
 from sparkmill.llm import sizeaware
+from sparkmill.llm.texts import py_like
 
 
 def sets(seed, n):
