@@ -2,7 +2,6 @@ import json
 import re
 import unicodedata
 
-from hypothesis import given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from sparkmill.functions import text as X, textnorm as N
@@ -27,19 +26,6 @@ def test_norm_is_the_same_on_either_side(spark):
     assert many(spark, texts, N.norm) == [N.py_norm(t) for t in texts]
 
 
-@settings(max_examples=200, deadline=None)
-@given(st.text(max_size=30), st.text(max_size=30))
-def test_like_is_symmetric_and_bounded(a, b):
-    x, y = N.py_norm(a), N.py_norm(b)
-    assert N.py_like(x, y) == N.py_like(y, x)
-    assert 0 <= N.py_like(x, y) <= 1
-    assert N.py_like(x, x) == (1.0 if len(x) > 1 else 0.0)
-
-
-def test_part(spark):
-    assert many(spark, [" Train", "VAL", None, " ", "test　", "odd"], N.part) == ["train", "validation", "train", "train", "test", "odd"]
-
-
 def test_family_key(spark):
     assert many(spark, [" A_01은  E_02를 공격해 !", "A_03 , E_04 쪽", "BA_01 그대로", None, ""], X.family_key) == ["A_ID{JOSA_ST} E_ID{JOSA_OBJ} 공격해!", "A_ID, E_ID 쪽", "BA_01 그대로", None, ""]
     odd = ["A_01 은 가", "A_01은; 가", "A_01은행 가", "E_ID을 A_ID  이 , .", "부대A_01이 가", "A_01,A_02,E_03를", "A_012 A_1 _A_01", "AE_01 A_01 ,, ! 끝  ?", ", , ."]
